@@ -35,12 +35,13 @@ def keep_qualified(
     must not all go to one task. Give it as a staged table so that the log is not counted
     again for it; Catalyst then broadcasts it when its size on disk allows.
     """
+    rows = qualified.agg(F.sum("n")).first()[0] or 0
     return skew_join(
         in_window(log, cfg),
         qualified.select("user_id"),
         ["user_id"],
         "left_semi",
-        hot_keys(qualified, ["user_id"], "n", hot_floor),
+        hot_keys(qualified, ["user_id"], "n", rows, hot_floor),
     )
 
 

@@ -31,6 +31,8 @@ class DayCounts:
 
     pairs: DataFrame
     items: DataFrame
+    pair_rows: int
+    item_rows: int
 
 
 def pair_counts(raw: DataFrame) -> DataFrame:
@@ -47,9 +49,13 @@ def pair_counts(raw: DataFrame) -> DataFrame:
 
 
 def stage_day_counts(raw: DataFrame) -> DayCounts:
-    """Both tables are written to scratch because every branch below reads them."""
+    """Both tables are written to scratch because every branch below reads them.
+
+    Their row counts come from the Parquet footers and size the hot-key handling.
+    """
     pairs = stage(pair_counts(raw), "pairs")
-    return DayCounts(pairs, stage(roll_up(pairs, "item_id", "category_id"), "items"))
+    items = stage(roll_up(pairs, "item_id", "category_id"), "items")
+    return DayCounts(pairs, items, pairs.count(), items.count())
 
 
 def item_day_features(counts: DayCounts, splits: Splits) -> DataFrame:
@@ -66,7 +72,7 @@ def item_day_features(counts: DayCounts, splits: Splits) -> DataFrame:
         category_history(per_category).where(in_days(splits.used)),
         keys,
         "left",
-        hot_keys(per_category, keys, "parts"),
+        hot_keys(per_category, keys, "parts", counts.item_rows),
     )
 
 
@@ -92,7 +98,7 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
         item_day_features(counts, splits),
         keys,
         "left",
-        hot_keys(counts.items.where(in_days(splits.used)), keys, "parts"),
+        hot_keys(counts.items, keys, "parts", counts.pair_rows),
     )
 
 
@@ -104,7 +110,7 @@ def negative_rows(counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
     per labelled day, and are broadcast. A negative was by definition not touched that
     day, so it has no user-item history row.
     """
-    popular = popular_items(counts.items, cfg.top_popular)
+    popular = stage(popular_items(counts.items, cfg.top_popular), "popular")
     labelled = in_days(cfg.splits.labelled)
 
     def of_popular(key: str) -> DataFrame:
@@ -163,12 +169,14 @@ def point_in_time_join(
     """Features for any candidate rows, by exact day, from the four history tables.
 
     Unlike ``build_matrix`` nothing is assumed about where the candidates come from. Items
-    and categories may be skewed among them, so those two joins split hot keys.
+    and categories may be skewed among them, so those two joins split hot keys. The
+    candidates are read several times: give them as a staged table.
     """
+    size = candidates.count()
     rows = candidates.join(user_item, ["user_id", "item_id", "day"], "left").join(
         user_category, ["user_id", "category_id", "day"], "left"
     )
     for keys, history in ((["item_id", "day"], item), (["category_id", "day"], category)):
         counted = candidates.groupBy(*keys).agg(F.count("*").alias("n"))
-        rows = skew_join(rows, history, keys, "left", hot_keys(counted, keys, "n"))
+        rows = skew_join(rows, history, keys, "left", hot_keys(counted, keys, "n", size))
     return rows.select(*candidates.columns, *feature_columns(cfg.epsilon))

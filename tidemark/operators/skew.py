@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above total / HOT_KEYS rows, so there can never be more hot keys than this.
+# A key is hot above rows / HOT_KEYS, so there can never be more hot keys than this.
 HOT_KEYS = 1024
 
 # Below this many rows a key is not worth splitting.
@@ -18,22 +18,23 @@ _SALT = "_salt"
 
 
 def hot_keys(
-    counted: DataFrame, keys: Sequence[str], weight: str, floor: int = HOT_FLOOR
-) -> DataFrame:
-    """The hot keys of ``counted`` (one row per key) and the number of parts for each.
+    counted: DataFrame, keys: Sequence[str], weight: str, rows: int, floor: int = HOT_FLOOR
+) -> DataFrame | None:
+    """The keys of ``counted`` (one row per key) whose ``weight`` makes them hot.
 
-    At most ``HOT_KEYS`` rows come out, because each has more than ``1/HOT_KEYS`` of the
-    total weight; that makes the frame safe to broadcast whatever the data size.
+    ``rows`` is the sum of all weights. Each hot key has more than ``rows / HOT_KEYS`` of
+    it, so at most ``HOT_KEYS`` come out and they are safe to broadcast at any data size.
+    None when so few rows exist that no key can be hot.
     """
-    total = counted.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total"))
-    limit = F.greatest(F.ceil(total.scalar() / HOT_KEYS), F.lit(int(floor)))
-    return counted.where(F.col(weight) > limit).select(
-        *keys, F.ceil(F.col(weight) / limit).cast("int").alias(_PARTS)
-    )
+    limit = max(-(-rows // HOT_KEYS), floor)
+    if rows <= limit:
+        return None
+    parts = F.ceil(F.col(weight) / limit).cast("int")
+    return counted.where(F.col(weight) > limit).select(*keys, parts.alias(_PARTS))
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None
 ) -> DataFrame:
     """``left`` joined to ``right`` with the rows of every hot key spread over several tasks.
 
@@ -45,15 +46,14 @@ def skew_join(
     """
     if how not in ("left", "left_semi", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(hot)
     keys = list(keys)
-    part_of = F.pmod(F.xxhash64(*left.columns), F.coalesce(F.col(_PARTS), F.lit(1)))
-    salted = (
-        left.join(hot, keys, "left").withColumn(_SALT, part_of.cast("int")).drop(_PARTS)
-    )
-    repeated = (
-        right.join(hot, keys, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)))
-        .drop(_PARTS)
-    )
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
+    part_of = F.when(
+        F.col(_PARTS).isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col(_PARTS)).cast("int")
+    ).otherwise(0)
+    salted = left.join(hot, keys, "left").withColumn(_SALT, part_of).drop(_PARTS)
+    all_parts = F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)
+    repeated = right.join(hot, keys, "left").withColumn(_SALT, F.explode(all_parts)).drop(_PARTS)
     return salted.join(repeated, keys + [_SALT], how).drop(_SALT)

@@ -21,8 +21,8 @@ DAILY = IngestConfig(ts_min=1704038400, ts_max=1704815999)
 DAILY_STRICT = IngestConfig(ts_min=1704038400, ts_max=1704815999, min_interactions=20)
 DAILY_FEATURES = FeatureConfig()
 
-# Order dates are sparse per day, so the volume variant counts months instead: 80 of them.
-MONTHLY = IngestConfig(ts_min=694224000, ts_max=915148799, timezone="UTC", grain="month")
+# Order dates are sparse per day, so the volume variant counts months: 80 from 1995-01 on.
+MONTHLY = IngestConfig(ts_min=788918400, ts_max=1009843199, timezone="UTC", grain="month")
 MONTHLY_FEATURES = FeatureConfig(
     splits=Splits(
         train=tuple(range(61, 73)), val=(73, 74, 75), test=(76, 77, 78), infer=(79, 80)
@@ -68,7 +68,8 @@ def monthly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("item_id"), brand.alias("category_id")
     )
     per_part = lines.groupBy("item_id").agg(F.count("*").alias("n"))
-    branded = skew_join(lines, parts, ["item_id"], "inner", hot_keys(per_part, ["item_id"], "n"))
+    hot = hot_keys(per_part, ["item_id"], "n", lines.count())
+    branded = skew_join(lines, parts, ["item_id"], "inner", hot)
     flag = F.col("l_returnflag")
     return branded.join(orders, "o_orderkey").select(
         F.col("o_custkey").alias("user_id"),

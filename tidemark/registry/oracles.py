@@ -255,7 +255,7 @@ _FINAL_DAILY = {
     ),
     "write_split_matrices": f"SELECT {_MATRIX} FROM matrix",
     "upsert_results": """
-SELECT user_id, rank, item_id, score,
+SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score,
        CASE split WHEN 'infer' THEN '2024-01-10 00:00:00' ELSE '2024-01-09 00:00:00' END
            AS updated_at
 FROM ranked r

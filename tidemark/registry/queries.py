@@ -68,8 +68,10 @@ def daily_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.pair_counts(inputs.lake(spark, sf_dir))
 
 
-def daily_popular(pairs: DataFrame) -> DataFrame:
-    return candidates.popular_items(pairs, DAILY_FEATURES.top_popular)
+def daily_popular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The popular list, written once because the negatives read it several times."""
+    counts = history.day_counts(daily_events(spark, sf_dir), "item_id", "category_id")
+    return stage(candidates.popular_items(counts, DAILY_FEATURES.top_popular), "popular")
 
 
 # --- sources and sinks ---------------------------------------------------------------
@@ -190,7 +192,7 @@ def feature_projection(spark, sf_dir):
     events = daily_events(spark, sf_dir)
     past = history.user_category_history(history.day_counts(events, "user_id", "category_id"))
     pairs = daily_pairs(spark, sf_dir)
-    negatives = candidates.sample_negatives(pairs, daily_popular(pairs), DAILY_FEATURES)
+    negatives = candidates.sample_negatives(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES)
     joined = negatives.join(past, ["user_id", "category_id", "day"], "left").select(
         "*",
         *(F.lit(None).cast("long").alias(c)
@@ -248,14 +250,14 @@ def events_with_day(spark, sf_dir):
 @query
 def cross_join_popular(spark, sf_dir):
     positives = candidates.positive_candidates(daily_events(spark, sf_dir), SPLITS)
-    popular = daily_popular(daily_pairs(spark, sf_dir))
+    popular = daily_popular(spark, sf_dir)
     return plain(candidates.offer_popular(candidates.positive_user_days(positives), popular))
 
 
 @query
 def anti_join_unseen(spark, sf_dir):
     pairs = daily_pairs(spark, sf_dir)
-    return plain(candidates.unseen_popular(pairs, daily_popular(pairs), DAILY_FEATURES))
+    return plain(candidates.unseen_popular(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES))
 
 
 @query
@@ -265,7 +267,7 @@ def point_in_time_join(spark, sf_dir):
     pairs = daily_pairs(spark, sf_dir)
     rows = candidates.labelled_candidates(
         candidates.positive_candidates(events, SPLITS),
-        candidates.sample_negatives(pairs, daily_popular(pairs), DAILY_FEATURES),
+        candidates.sample_negatives(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES),
         SPLITS,
     )
     return plain(
@@ -313,8 +315,8 @@ def positive_candidates(spark, sf_dir):
 
 @query
 def popular_items(spark, sf_dir):
-    events = daily_events(spark, sf_dir)
-    return daily_popular(history.day_counts(events, "item_id", "category_id"))
+    counts = history.day_counts(daily_events(spark, sf_dir), "item_id", "category_id")
+    return candidates.popular_items(counts, DAILY_FEATURES.top_popular)
 
 
 @query
@@ -390,7 +392,7 @@ def lag_features(spark, sf_dir):
 @query
 def sample_negatives(spark, sf_dir):
     pairs = daily_pairs(spark, sf_dir)
-    return plain(candidates.sample_negatives(pairs, daily_popular(pairs), DAILY_FEATURES))
+    return plain(candidates.sample_negatives(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES))
 
 
 @query
@@ -417,7 +419,7 @@ def latest_finished_run_(spark, sf_dir):
 def candidates_(spark, sf_dir):
     events = daily_events(spark, sf_dir)
     pairs = daily_pairs(spark, sf_dir)
-    negatives = candidates.sample_negatives(pairs, daily_popular(pairs), DAILY_FEATURES)
+    negatives = candidates.sample_negatives(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES)
     positives = candidates.positive_candidates(events, SPLITS)
     return plain(candidates.labelled_candidates(positives, negatives, SPLITS))
 

@@ -40,7 +40,7 @@ def lookup_recommendations(results: DataFrame, requests: DataFrame) -> DataFrame
     counted = requests.groupBy("user_id").agg(F.count("*").alias("n"))
     known = results.select("user_id", "recommended_items", F.lit(True).alias("hit"))
     joined = skew_join(
-        requests, known, ["user_id"], "left", hot_keys(counted, ["user_id"], "n")
+        requests, known, ["user_id"], "left", hot_keys(counted, ["user_id"], "n", requests.count())
     )
     return joined.withColumn("found", F.coalesce("hit", F.lit(False))).drop("hit")
 
