@@ -16,9 +16,13 @@ def in_time_range(ts_min: int, ts_max: int, ts: str = "timestamp") -> Column:
 
 
 def local_event_date(timezone: str, ts: str = "timestamp") -> Column:
-    """Calendar date of an epoch second in ``timezone``, whatever the session zone is."""
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col(ts))
-    return F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc).cast("date")
+    """Calendar date of an epoch second in ``timezone``, whatever the session zone is.
+
+    Days are cut from the shifted epoch second itself, since a cast from timestamp to date
+    would follow the session zone.
+    """
+    local = F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(ts), timezone))
+    return F.date_from_unix_date(F.floor(local / 86400).cast("int"))
 
 
 def event_period(timezone: str, grain: str, ts: str = "timestamp") -> Column:

@@ -39,15 +39,24 @@ def popular_items(counts: DataFrame, top: int) -> DataFrame:
     )
 
 
+def _words(cfg: FeatureConfig) -> int:
+    return -(-cfg.top_popular // _WORD)
+
+
 def _menu(popular: DataFrame) -> DataFrame:
-    """The popular list with a slot number per item, counted from 0 in item order."""
+    """The popular list with a bit (of a numbered word) for each distinct item."""
     slot = F.dense_rank().over(Window.orderBy("item_id")) - 1
-    return popular.select("item_id", "category_id", slot.alias("slot"))
+    return popular.select("item_id", "category_id", slot.alias("slot")).select(
+        "item_id",
+        "category_id",
+        F.floor(F.col("slot") / _WORD).cast("int").alias("word"),
+        F.expr(f"shiftleft(1L, slot % {_WORD})").alias("bit"),
+    )
 
 
 def _menu_array(menu: DataFrame) -> Column:
     """The whole list as one array value, in item order, through a scalar subquery."""
-    entry = F.struct("item_id", "category_id", "slot")
+    entry = F.struct("item_id", "category_id", "word", "bit")
     return menu.agg(F.array_sort(F.collect_list(entry)).alias("menu")).scalar()
 
 
@@ -75,16 +84,15 @@ def _seen_marks(counts: DataFrame, menu: DataFrame, cfg: FeatureConfig) -> DataF
     One bit per popular item, so the state of a group is a few longs however many events
     it has, and all of it is combined before the shuffle.
     """
-    slots = menu.select("item_id", "slot").distinct()
-    words = range(-(-cfg.top_popular // _WORD))
-    bit = F.expr(f"shiftleft(1L, slot % {_WORD})")
+    bits = menu.select("item_id", "word", "bit").distinct()
+    words = range(_words(cfg))
     marks = [
-        F.bit_or(F.when(F.floor(F.col("slot") / _WORD) == w, bit)).alias(f"seen_{w}") for w in words
+        F.bit_or(F.when(F.col("word") == w, F.col("bit"))).alias(f"seen_{w}") for w in words
     ]
     return (
         counts.where(in_days(cfg.splits.labelled))
-        .join(F.broadcast(slots), "item_id", "left")
-        .where((F.col("engaged") > 0) | F.col("slot").isNotNull())
+        .join(F.broadcast(bits), "item_id", "left")
+        .where((F.col("engaged") > 0) | F.col("bit").isNotNull())
         .groupBy("user_id", "day", "event_date")
         .agg(F.max("engaged").alias("engaged"), *marks)
         .where(F.col("engaged") > 0)
@@ -108,12 +116,9 @@ def unseen_popular(
     """
     menu = _menu(popular)
     rows = _seen_marks(counts, menu, cfg).withColumn("menu", _menu_array(menu))
-    unseen = F.filter(
-        "menu",
-        lambda m: F.col("seen")[F.floor(m["slot"] / _WORD).cast("int")].bitwiseAND(
-            F.call_function("shiftleft", F.lit(1).cast("long"), m["slot"] % _WORD)
-        )
-        == 0,
+    no_marks = F.array(*(F.lit(0).cast("long") for _ in range(_words(cfg))))
+    unseen = F.when(F.col("seen") == no_marks, F.col("menu")).otherwise(
+        F.filter("menu", lambda m: F.col("seen")[m["word"]].bitwiseAND(m["bit"]) == 0)
     )
     if first is not None:
         unseen = F.slice(unseen, 1, first)

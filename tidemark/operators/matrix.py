@@ -51,11 +51,12 @@ def pair_counts(raw: DataFrame) -> DataFrame:
 def stage_day_counts(raw: DataFrame) -> DayCounts:
     """Both tables are written to scratch because every branch below reads them.
 
-    Their row counts come from the Parquet footers and size the hot-key handling.
+    Their row counts size the hot-key handling.
     """
     pairs = stage(pair_counts(raw), "pairs")
     items = stage(roll_up(pairs, "item_id", "category_id"), "items")
-    return DayCounts(pairs, items, pairs.count(), items.count())
+    rows = items.agg(F.coalesce(F.sum("parts"), F.lit(0)), F.count("*")).first()
+    return DayCounts(pairs, items, rows[0], rows[1])
 
 
 def item_day_features(counts: DayCounts, splits: Splits) -> DataFrame:
