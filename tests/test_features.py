@@ -10,8 +10,10 @@ from tidemark.config import FEATURE_COLS, MATRIX_COLS, FeatureConfig, Splits
 from tidemark.operators import candidates, history, matrix
 from tidemark.operators.days import day_index, with_day
 from tidemark.plans import run_features
+from tidemark.session import scratch_root
 from tidemark.sources.log import LAKE_SCHEMA, write_raw_partitions
 from tidemark.sources.matrices import MATRIX_SCHEMA, read_matrices, read_split
+from tidemark.sources.storage import subdirectories
 
 START = date(2020, 3, 1)
 
@@ -191,7 +193,10 @@ def test_job_writes_splits_and_reruns_to_the_same_result(spark, tmp_path):
     first = collected(read_matrices(spark, out))
     assert counts["infer"] == len([r for r in first if r[5] == "infer"])
     assert counts["train_pos"] == len([r for r in first if r[5] == "train" and r[4] == 1])
+    area = f"{scratch_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    before = subdirectories(spark, area)
     assert run_features(spark, lake_root, out) == counts
+    assert subdirectories(spark, area) == before  # the job cleared its staged tables
     assert collected(read_matrices(spark, out)) == first
     assert read_split(spark, out, "val").dtypes == [
         (f.name, f.dataType.simpleString()) for f in MATRIX_SCHEMA

@@ -105,6 +105,22 @@ def test_heavy_users_are_kept_whole(spark):
     assert salted.groupBy("user_id").count().where("user_id = 1").first()["count"] == 350
 
 
+def test_copies_of_one_row_are_spread(spark):
+    """A hot key made of copies only: the copies of different input partitions part ways."""
+    left = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
+    right = spark.createDataFrame([(1, 5)], "k int, v int")
+    counted = left.groupBy("k").agg(F.count("*").alias("n"))
+    hot = hot_keys(counted, ["k"], "n", 8000, floor=500)
+    joined = skew_join(left, right, ["k"], "inner", hot)
+    assert joined.count() == 8000
+    salted = joined._jdf.queryExecution().analyzed().toString()
+    assert "SPARK_PARTITION_ID" in salted.upper()
+    sizes = left.groupBy(
+        F.pmod(F.xxhash64("k", F.spark_partition_id()), F.lit(16)).alias("part")
+    ).count().collect()
+    assert len(sizes) > 3
+
+
 @pytest.mark.parametrize("how", ["left", "left_semi", "inner"])
 def test_skew_join_equals_join(spark, how):
     r = random.Random(5)

@@ -38,11 +38,10 @@ def skew_join(
 ) -> DataFrame:
     """``left`` joined to ``right`` with the rows of every hot key spread over several tasks.
 
-    Hot rows of ``left`` get a part number from a hash of the whole row, so a retried task
-    gives the same number again; the matching rows of ``right`` are repeated once per part.
-    The parts add up to at most ``2 * HOT_KEYS`` extra rows for a ``right`` with unique
-    keys. Copies of one row cannot be told apart by a hash; those partitions are left to
-    the adaptive skew join, which splits by map output.
+    Hot rows of ``left`` get a part number from a hash of the row and its input partition,
+    so copies of one row spread too, and a retried task gives the same numbers again. The
+    matching rows of ``right`` are repeated once per part; the parts of all hot keys add up
+    to at most ``2 * HOT_KEYS``.
     """
     if how not in ("left", "left_semi", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -50,8 +49,9 @@ def skew_join(
     if hot is None:
         return left.join(right, keys, how)
     hot = F.broadcast(hot)
+    spread = F.xxhash64(*left.columns, F.spark_partition_id())
     part_of = F.when(
-        F.col(_PARTS).isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col(_PARTS)).cast("int")
+        F.col(_PARTS).isNotNull(), F.pmod(spread, F.col(_PARTS)).cast("int")
     ).otherwise(0)
     salted = left.join(hot, keys, "left").withColumn(_SALT, part_of).drop(_PARTS)
     all_parts = F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)

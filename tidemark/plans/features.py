@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from tidemark.config import FeatureConfig
 from tidemark.operators.matrix import build_matrix, stage_day_counts
 from tidemark.operators.metrics import split_counts
+from tidemark.session import staged_tables
 from tidemark.sources.log import read_raw_events
 from tidemark.sources.matrices import read_matrices, write_split_matrices
 
@@ -15,6 +16,7 @@ def run_features(
     spark: SparkSession, lake_root: str, matrix_root: str, cfg: FeatureConfig = FeatureConfig()
 ) -> dict[str, int]:
     """Write all four splits in one pass over the day counts; returns the row counts."""
-    counts = stage_day_counts(read_raw_events(spark, lake_root))
-    write_split_matrices(build_matrix(counts, cfg), matrix_root)
+    with staged_tables(spark):
+        counts = stage_day_counts(read_raw_events(spark, lake_root))
+        write_split_matrices(build_matrix(counts, cfg), matrix_root)
     return split_counts(read_matrices(spark, matrix_root)).first().asDict()

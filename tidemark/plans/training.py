@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from tidemark.config import TrainConfig
 from tidemark.operators.metrics import training_report
 from tidemark.operators.model import score, train_gbt
-from tidemark.session import scratch_root, stage
+from tidemark.session import scratch_root, stage, staged_tables
 from tidemark.sources.matrices import read_matrices, read_split
 from tidemark.sources.runs import FAILED, FINISHED, RunRegistry
 
@@ -23,9 +23,10 @@ def run_training(
             read_split(spark, matrix_root, "train"), read_split(spark, matrix_root, "val"), cfg
         )
         model.write().save(registry.model_path(run_id))
-        test = read_split(spark, matrix_root, "test")
-        scored = stage(score(model, test).select("label", "score"), "scored")
-        report = training_report(scored, read_matrices(spark, matrix_root)).first().asDict()
+        with staged_tables(spark):
+            test = score(model, read_split(spark, matrix_root, "test"))
+            scored = stage(test.select("label", "score"), "scored")
+            report = training_report(scored, read_matrices(spark, matrix_root)).first().asDict()
         metrics = {k: v for k, v in report.items() if k.startswith("test_")}
         wide = spark.createDataFrame(
             [tuple(metrics.values())], ", ".join(f"{k} double" for k in metrics)

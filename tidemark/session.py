@@ -5,9 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.storage import delete
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, options: dict[str, str] | None = None
@@ -62,5 +69,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (staged := _staged.get()) is not None:
+        staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside at the end, for jobs that return no frame over them."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            delete(spark, path)

@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def subdirectories(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories right below ``path``; empty when it does not exist."""
     fs, target = _hadoop_path(spark, path)
