@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from tidemark import session
 from tidemark.operators import history, matrix
 from tidemark.operators.days import day_index, with_day
 from tidemark.operators.ingest import in_window
@@ -52,6 +53,25 @@ def test_matrix_shuffles_the_candidates_twice_only(spark):
     assert len(joins) == 3  # both of the above, and category features to items
 
 
+def test_shuffles_grow_with_the_input(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    size = os.path.getsize(f"{SF_DIR}/lineitem.parquet")
+    assert session.input_bytes(lines) == size
+    assert session.input_bytes(lines.join(lines.groupBy("l_partkey").count(), "l_partkey")) >= size
+    assert session.input_bytes(spark.createDataFrame([(1,)], "a int")) < size
+    with session.sized_shuffles(lines):
+        assert spark.conf.get(key) == before
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", size // 20)
+    with session.sized_shuffles(lines):
+        assert spark.conf.get(key) in ("20", "21")
+    monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 11)
+    with session.sized_shuffles(lines):
+        assert spark.conf.get(key) == "11"
+    assert spark.conf.get(key) == before
+
+
 def test_history_window_runs_over_day_counts(spark):
     """The hot key is combined before the shuffle; the window sees one row per key and day."""
     raw = inputs.lake(spark, SF_DIR)

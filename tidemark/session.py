@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.storage import delete
 
+# Input bytes per shuffle partition, and the most partitions a job asks for: beyond that the
+# number of map-reduce blocks costs more than larger, spilling partitions do.
+SHUFFLE_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -28,6 +33,8 @@ def local_session(
         "spark.driver.memory": os.environ.get("TIDEMARK_DRIVER_MEMORY", "12g"),
         # list a few hundred lake directories on the driver rather than in a job
         "spark.sql.sources.parallelPartitionDiscovery.threshold": "512",
+        # a session runs more distinct stages than the 100 whose code is kept by default
+        "spark.sql.codegen.cache.maxEntries": "2000",
         # no Python call site for every column expression: halves the time to build a plan
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(options or {}),
@@ -86,3 +93,29 @@ def staged_tables(spark: SparkSession) -> Iterator[None]:
         _staged.reset(token)
         for path in paths:
             delete(spark, path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files ``df`` reads, from the statistics of the leaves of its plan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    # a leaf without statistics reports the largest long
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[None]:
+    """Raise the number of shuffle partitions to fit the input; never lower it.
+
+    The adaptive planner merges partitions that turn out small but cannot split a plan that
+    started with too few.
+    """
+    key = "spark.sql.shuffle.partitions"
+    conf = df.sparkSession.conf
+    before = conf.get(key)
+    wanted = min(-(-input_bytes(df) // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    conf.set(key, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
