@@ -6,11 +6,11 @@ from datetime import date, timedelta
 import pytest
 
 import reference_model
-from tidemark.config import FEATURE_COLS, MATRIX_COLS, FeatureConfig, Splits
-from tidemark.operators import candidates, history, matrix
+from tidemark.config import FEATURE_COLS, MATRIX_COLS, MATRIX_KEYS, FeatureConfig, Splits
+from tidemark.operators import candidates, history, matrix, skew
 from tidemark.operators.days import day_index, with_day
 from tidemark.plans import run_features
-from tidemark.session import scratch_root
+from tidemark.session import scratch_root, stage
 from tidemark.sources.log import LAKE_SCHEMA, write_raw_partitions
 from tidemark.sources.matrices import MATRIX_SCHEMA, read_matrices, read_split
 from tidemark.sources.storage import subdirectories
@@ -85,7 +85,7 @@ def test_point_in_time_join_equals_the_fused_path(spark):
     days = with_day(raw, day_index(raw))
     counts = matrix.stage_day_counts(raw)
     fused = matrix.build_matrix(counts, cfg)
-    keys = fused.select("user_id", "item_id", "category_id", "day", "event_date", "label", "split")
+    keys = fused.select(*MATRIX_KEYS)
     joined = matrix.point_in_time_join(
         keys,
         history.user_item_history(history.day_counts(days, "user_id", "item_id")),
@@ -102,19 +102,40 @@ def test_hot_keys_do_not_change_the_matrix(spark, monkeypatch):
     events = [(u, 3 if i % 2 else i, c, b, d) for u, i, c, b, d in random_events(9)]
     cfg = FeatureConfig()
     original = matrix.hot_keys
-    seen = []
+    seen = {}
 
-    def low(counted, keys, weight, rows):
-        hot = original(counted, keys, weight, rows, floor=2)
-        seen.append(hot.count())
+    def watched(counted, keys, weight, rows):
+        hot = original(counted, keys, weight, rows)
+        seen[tuple(keys)] = hot.count()
         return hot
 
-    monkeypatch.setattr(matrix, "hot_keys", low)
+    monkeypatch.setattr(skew, "HOT_FLOOR", 2)
+    monkeypatch.setattr(matrix, "hot_keys", watched)
     counts = matrix.stage_day_counts(lake(spark, events))
     assert collected(matrix.build_matrix(counts, cfg)) == sorted(
         reference_model.matrix(events, cfg), key=repr
     )
-    assert all(n > 0 for n in seen) and seen
+    assert len(seen) == 3 and all(n > 0 for n in seen.values())
+
+
+def test_hot_keys_do_not_change_the_point_in_time_join(spark, monkeypatch):
+    events = random_events(12)
+    cfg = FeatureConfig()
+    raw = lake(spark, events)
+    days = with_day(raw, day_index(raw))
+    fused = matrix.build_matrix(matrix.stage_day_counts(raw), cfg)
+    keys = stage(fused.select(*MATRIX_KEYS), "keys")
+    monkeypatch.setattr(skew, "HOT_FLOOR", 3)
+    joined = matrix.point_in_time_join(
+        keys,
+        history.user_item_history(history.day_counts(days, "user_id", "item_id")),
+        history.user_category_history(history.day_counts(days, "user_id", "category_id")),
+        history.item_history(history.day_counts(days, "item_id")),
+        history.category_history(history.day_counts(days, "category_id")),
+        cfg,
+    )
+    assert joined._jdf.queryExecution().analyzed().toString().count("_parts") > 3
+    assert collected(joined) == collected(fused)
 
 
 def test_a_missing_date_shifts_the_ordinals(spark):

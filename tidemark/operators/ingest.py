@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import IngestConfig
 from tidemark.functions.columns import event_period, in_time_range
-from tidemark.operators.skew import HOT_FLOOR, hot_keys, skew_join
+from tidemark.operators.skew import hot_keys, skew_join
 
 LOG_COLS = ("user_id", "item_id", "category_id", "behavior_type", "timestamp")
 
@@ -27,7 +27,7 @@ def qualified_users(log: DataFrame, cfg: IngestConfig) -> DataFrame:
 
 
 def keep_qualified(
-    log: DataFrame, qualified: DataFrame, cfg: IngestConfig, hot_floor: int = HOT_FLOOR
+    log: DataFrame, qualified: DataFrame, cfg: IngestConfig, hot_floor: int | None = None
 ) -> DataFrame:
     """Rows of qualified users inside the window.
 

@@ -17,7 +17,7 @@ from tidemark.operators.history import (
     total_before,
     user_category_history,
 )
-from tidemark.operators.skew import hot_keys, skew_join
+from tidemark.operators.skew import hot_keys, may_have_hot_keys, skew_join
 from tidemark.session import stage
 
 
@@ -139,8 +139,8 @@ def build_matrix(
     """The feature matrix of the labelled splits, the scoring split, or both.
 
     The user-category join comes last, once, for positives, negatives and scoring rows
-    together. Its key names user, category and day at once and both sides are already
-    reduced to distinct pairs; what skew is left is for the adaptive skew join.
+    together. Its counts are staged when the data is large enough for a user to hold a hot
+    share of one category and day.
     """
     splits = cfg.splits
     rows = touched_rows(counts, splits, labelled, infer)
@@ -150,9 +150,13 @@ def build_matrix(
     per_user_category = roll_up(
         counts.pairs.where(F.col("day") <= max(used)), "user_id", "category_id"
     )
+    if may_have_hot_keys(counts.pair_rows):
+        per_user_category = stage(per_user_category, "user-category")
+    keys = ["user_id", "category_id", "day"]
     history = user_category_history(per_user_category).where(in_days(used))
+    hot = hot_keys(per_user_category, keys, "parts", counts.pair_rows)
     return (
-        rows.join(history, ["user_id", "category_id", "day"], "left")
+        skew_join(rows, history, keys, "left", hot)
         .withColumn("split", split_label(splits))
         .select(*MATRIX_KEYS, *feature_columns(cfg.epsilon))
         .select(*MATRIX_COLS)
@@ -169,15 +173,17 @@ def point_in_time_join(
 ) -> DataFrame:
     """Features for any candidate rows, by exact day, from the four history tables.
 
-    Unlike ``build_matrix`` nothing is assumed about where the candidates come from. Items
-    and categories may be skewed among them, so those two joins split hot keys. The
+    Unlike ``build_matrix`` nothing is assumed about where the candidates come from. Users,
+    items and categories may be skewed among them, so those joins split hot keys. The
     candidates are read several times: give them as a staged table.
     """
     size = candidates.count()
-    rows = candidates.join(user_item, ["user_id", "item_id", "day"], "left").join(
-        user_category, ["user_id", "category_id", "day"], "left"
-    )
-    for keys, history in ((["item_id", "day"], item), (["category_id", "day"], category)):
+    rows = candidates.join(user_item, ["user_id", "item_id", "day"], "left")
+    for keys, history in (
+        (["user_id", "category_id", "day"], user_category),
+        (["item_id", "day"], item),
+        (["category_id", "day"], category),
+    ):
         counted = candidates.groupBy(*keys).agg(F.count("*").alias("n"))
         rows = skew_join(rows, history, keys, "left", hot_keys(counted, keys, "n", size))
     return rows.select(*candidates.columns, *feature_columns(cfg.epsilon))

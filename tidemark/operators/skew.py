@@ -17,8 +17,17 @@ _PARTS = "_parts"
 _SALT = "_salt"
 
 
+def _limit(rows: int, floor: int | None) -> int:
+    return max(-(-rows // HOT_KEYS), HOT_FLOOR if floor is None else floor)
+
+
+def may_have_hot_keys(rows: int) -> bool:
+    """Whether a key of a table with so many rows can be hot at all."""
+    return rows > _limit(rows, None)
+
+
 def hot_keys(
-    counted: DataFrame, keys: Sequence[str], weight: str, rows: int, floor: int = HOT_FLOOR
+    counted: DataFrame, keys: Sequence[str], weight: str, rows: int, floor: int | None = None
 ) -> DataFrame | None:
     """The keys of ``counted`` (one row per key) whose ``weight`` makes them hot.
 
@@ -26,7 +35,7 @@ def hot_keys(
     it, so at most ``HOT_KEYS`` come out and they are safe to broadcast at any data size.
     None when so few rows exist that no key can be hot.
     """
-    limit = max(-(-rows // HOT_KEYS), floor)
+    limit = _limit(rows, floor)
     if rows <= limit:
         return None
     parts = F.ceil(F.col(weight) / limit).cast("int")
