@@ -1,8 +1,10 @@
 """What the physical plans must and must not contain."""
 
 import os
+from contextlib import nullcontext
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tidemark import session
@@ -61,17 +63,36 @@ def test_shuffles_grow_with_the_input(spark, monkeypatch):
     assert session.input_bytes(lines) == size
     assert session.input_bytes(lines.join(lines.groupBy("l_partkey").count(), "l_partkey")) >= size
     assert session.input_bytes(spark.createDataFrame([(1,)], "a int")) < size
-    with session.sized_shuffles(lines):
+    with session.sized_for(lines):
         assert spark.conf.get(key) == before
     monkeypatch.setattr(session, "SHUFFLE_BYTES", size // 20)
-    with session.sized_shuffles(lines):
+    with session.sized_for(lines):
         assert spark.conf.get(key) in ("20", "21")
     monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 11)
-    with session.sized_shuffles(lines):
+    with session.sized_for(lines):
         assert spark.conf.get(key) == "11"
     assert spark.conf.get(key) == before
 
 
+def test_joins_in_a_job_are_hashed_when_the_small_side_is_small(spark):
+    """Measured at run time: with a zero threshold the same join is sort-merge."""
+    left = spark.range(20000).select((F.col("id") % 500).alias("k"), "id").repartition(8, "id")
+    right = spark.range(500).select(F.col("id").alias("k"), F.uuid().alias("v")).repartition(8, "v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for expected, scope in (("ShuffledHashJoin", session.sized_for(left)),
+                                ("SortMergeJoin", nullcontext())):
+            with scope:
+                joined = left.join(right, "k", "left")
+                joined.collect()
+                plan = physical(joined)
+            final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+            assert expected in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_history_window_runs_over_day_counts(spark):
     """The hot key is combined before the shuffle; the window sees one row per key and day."""
     raw = inputs.lake(spark, SF_DIR)

@@ -29,13 +29,13 @@ def roll_up(counts: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def total_before(value: str | Column, *keys: str) -> Column:
+def total_before(value: str, *keys: str) -> Column:
     """Sum of ``value`` over the key's earlier days, 0 when there are none."""
-    value = F.col(value) if isinstance(value, str) else value
     earlier = (
-        Window.partitionBy(*keys).orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
+        f"PARTITION BY {', '.join(keys)} ORDER BY day "
+        "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     )
-    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+    return F.expr(f"coalesce(sum({value}) OVER ({earlier}), 0)")
 
 
 def user_item_history(counts: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def category_history(counts: DataFrame) -> DataFrame:
     """
     key = "category_id"
     engaged = total_before("engaged", key).cast("double")
-    active_days = total_before(F.lit(1), key).cast("double")
+    active_days = total_before("1", key).cast("double")
     return counts.select(
         key,
         "day",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.config import IngestConfig
 from tidemark.operators.ingest import dated, keep_qualified, qualified_users
-from tidemark.session import sized_shuffles, stage, staged_tables
+from tidemark.session import sized_for, stage, staged_tables
 from tidemark.sources.log import write_raw_partitions
 
 
@@ -18,7 +18,7 @@ def ingest(log: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, DataFrame]:
 
 def run_bootstrap(log: DataFrame, lake_root: str, cfg: IngestConfig = IngestConfig()) -> dict[str, int]:
     """Write the lake; the log is read twice, first two columns of it, then all five."""
-    with staged_tables(log.sparkSession), sized_shuffles(log):
+    with staged_tables(log.sparkSession), sized_for(log):
         events, qualified = ingest(log, cfg)
         files = write_raw_partitions(events, lake_root)
         return {"qualified_users": qualified.count(), "parquet_files": files}

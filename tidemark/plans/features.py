@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from tidemark.config import FeatureConfig
 from tidemark.operators.matrix import build_matrix, stage_day_counts
 from tidemark.operators.metrics import split_counts
-from tidemark.session import sized_shuffles, staged_tables
+from tidemark.session import sized_for, staged_tables
 from tidemark.sources.log import read_raw_events
 from tidemark.sources.matrices import read_matrices, write_split_matrices
 
@@ -17,7 +17,7 @@ def run_features(
 ) -> dict[str, int]:
     """Write all four splits in one pass over the day counts; returns the row counts."""
     raw = read_raw_events(spark, lake_root)
-    with staged_tables(spark), sized_shuffles(raw):
+    with staged_tables(spark), sized_for(raw):
         counts = stage_day_counts(raw)
         write_split_matrices(build_matrix(counts, cfg), matrix_root)
     return split_counts(read_matrices(spark, matrix_root)).first().asDict()

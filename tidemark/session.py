@@ -104,18 +104,28 @@ def input_bytes(df: DataFrame) -> int:
 
 
 @contextmanager
-def sized_shuffles(df: DataFrame) -> Iterator[None]:
-    """Raise the number of shuffle partitions to fit the input; never lower it.
+def sized_for(df: DataFrame) -> Iterator[None]:
+    """Planner settings for a job that reads ``df``, put back at the end.
 
-    The adaptive planner merges partitions that turn out small but cannot split a plan that
-    started with too few.
+    The number of shuffle partitions rises to fit the input and never falls: the adaptive
+    planner merges partitions that turn out small, but cannot make more. And a join whose
+    smaller side measures no more than the advisory size in every partition is hashed, so
+    that the large side need not be sorted; beyond that size it is a sort-merge join.
     """
-    key = "spark.sql.shuffle.partitions"
     conf = df.sparkSession.conf
-    before = conf.get(key)
+    shuffles = "spark.sql.shuffle.partitions"
     wanted = min(-(-input_bytes(df) // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
-    conf.set(key, str(max(int(before), wanted)))
+    settings = {
+        shuffles: str(max(int(conf.get(shuffles)), wanted)),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": conf.get(
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        ),
+    }
+    before = {key: conf.get(key) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         yield
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
