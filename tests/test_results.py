@@ -18,7 +18,9 @@ SCORED = "user_id long, item_id long, score double"
 
 def lists(spark, table):
     rows = [(u, [(i, s) for i, s in items]) for u, items in table.items()]
-    return spark.createDataFrame(rows, "user_id long, recommended_items array<struct<item_id:bigint,score:double>>")
+    return spark.createDataFrame(
+        rows, "user_id long, recommended_items array<struct<item_id:bigint,score:double>>"
+    )
 
 
 def content(df):
@@ -97,6 +99,14 @@ def test_incomplete_version_is_not_read(spark, tmp_path):
     assert set(content(table.read())) == {1, 2}
 
 
+def test_old_versions_are_dropped(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "results"), keep=2)
+    for user in range(1, 5):
+        table.upsert(lists(spark, {user: [(user, 0.5)]}))
+    assert table._complete() == [3, 4]
+    assert set(content(table.read())) == {1, 2, 3, 4}
+
+
 def test_null_list_is_refused(spark, tmp_path):
     table = ResultTable(spark, str(tmp_path / "results"))
     bad = spark.createDataFrame([(1, None)], lists(spark, {1: [(1, 1.0)]}).schema)

@@ -21,7 +21,9 @@ TEST_METRICS = (
 )
 
 
-def auc_roc(scored: DataFrame, label: str = "label", score: str = "score", slices: int | None = None) -> DataFrame:
+def auc_roc(
+    scored: DataFrame, label: str = "label", score: str = "score", slices: int | None = None
+) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when a class is missing.
 
     The rows collapse to one per distinct score before any ordering. Those are cut into
@@ -70,7 +72,9 @@ def log_loss(scored: DataFrame, label: str = "label", score: str = "score") -> D
     return scored.agg(log_loss_column(label, score).alias("log_loss"))
 
 
-def class_columns(label: str = "label", score: str = "score", threshold: float = THRESHOLD) -> dict[str, Column]:
+def class_columns(
+    label: str = "label", score: str = "score", threshold: float = THRESHOLD
+) -> dict[str, Column]:
     """Precision, recall, F1 and accuracy as aggregates; 0 where a ratio has no basis."""
     hit = F.col(score) >= threshold
     positive = F.col(label) == 1
@@ -87,7 +91,9 @@ def class_columns(label: str = "label", score: str = "score", threshold: float =
     }
 
 
-def classification_metrics(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def classification_metrics(
+    scored: DataFrame, label: str = "label", score: str = "score"
+) -> DataFrame:
     return scored.agg(*(c.alias(n) for n, c in class_columns(label, score).items()))
 
 
@@ -104,12 +110,13 @@ def evaluate(scored: DataFrame) -> DataFrame:
 def long_form(row: DataFrame, run_id: str) -> DataFrame:
     """(run, key, value) rows from one wide row of metrics."""
     return row.withColumn("run_id", F.lit(run_id)).unpivot(
-        "run_id", [c for c in row.columns], "key", "value"
+        "run_id", row.columns, "key", "value"
     )
 
 
 def split_counts(matrix: DataFrame) -> DataFrame:
     """Row counts a feature run reports, in one pass."""
+
     def of(split: str) -> Column:
         return F.col("split") == split
 
@@ -127,7 +134,5 @@ def training_report(scored_test: DataFrame, matrix: DataFrame) -> DataFrame:
     sizes = matrix.agg(
         *(F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test"))
     )
-    metrics = evaluate(scored_test)
-    return metrics.select(
-        *TEST_METRICS, *(sizes.select(f"n_{s}").scalar().alias(f"n_{s}") for s in ("train", "val", "test"))
-    )
+    counts = (sizes.select(name).scalar().alias(name) for name in sizes.columns)
+    return evaluate(scored_test).select(*TEST_METRICS, *counts)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ingest import LOG_COLS
-from tidemark.sources.storage import count_files
 
 LOG_SCHEMA = T.StructType(
     [
@@ -40,7 +39,8 @@ def write_raw_partitions(events: DataFrame, root: str) -> int:
         .partitionBy("event_date")
         .parquet(root)
     )
-    return count_files(events.sparkSession, root, ".parquet")
+    # the length of the array on the JVM side: the names themselves stay there
+    return len(read_raw_events(events.sparkSession, root)._jdf.inputFiles())
 
 
 def read_raw_events(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.recommendations import ITEM_LIST
 from tidemark.operators.skew import hot_keys, skew_join
-from tidemark.sources.storage import exists, subdirectories
+from tidemark.sources.storage import delete, exists, subdirectories
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -50,19 +50,26 @@ class ResultTable:
 
     An upsert reads version N and writes version N + 1, so a failed or repeated write
     never touches what is being read. A version counts once its success marker exists.
+    The ``keep`` newest versions stay for readers that have them open. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     def _path(self, version: int) -> str:
         return f"{self.root}/version={version}"
 
-    def _current(self) -> int | None:
+    def _complete(self) -> list[int]:
         names = subdirectories(self.spark, self.root)
         versions = sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
-        done = [v for v in versions if exists(self.spark, f"{self._path(v)}/_SUCCESS")]
+        return [v for v in versions if exists(self.spark, f"{self._path(v)}/_SUCCESS")]
+
+    def _current(self) -> int | None:
+        done = self._complete()
         return done[-1] if done else None
 
     def create(self) -> None:
@@ -90,3 +97,5 @@ class ResultTable:
         merged = merge_results(self.read(), checked, at)
         # An incomplete directory of that number can only be left over from a failed upsert.
         merged.write.mode("overwrite").parquet(self._path(self._current() + 1))
+        for version in self._complete()[: -self.keep]:
+            delete(self.spark, self._path(version))

@@ -27,12 +27,3 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
-
-
-def count_files(spark: SparkSession, path: str, suffix: str) -> int:
-    fs, target = _hadoop_path(spark, path)
-    found = fs.listFiles(target, True)
-    n = 0
-    while found.hasNext():
-        n += found.next().getPath().getName().endswith(suffix)
-    return n
