@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -31,8 +32,9 @@ BLOCK_TOKENS = 1 << 19
 SAMPLE = 256
 # Input bytes for each range of document ids, one task each.
 RANGE_BYTES = 32 << 20
-# Pieces of text whose ids a task remembers.
-CACHE_PIECES = 1 << 18
+# Pieces of text whose ids a worker remembers, and the bytes of text it encodes at once.
+CACHE_PIECES = 700_000
+GROUP_BYTES = 1 << 20
 
 _HEAD = "<QQBQQ"
 
@@ -102,33 +104,50 @@ class Encoder:
     A byte-level pre-tokenizer starts a new token at a space between two other characters, and
     looks at nothing before it; so a text may be cut there without changing its ids. A piece that
     touches further white space is not cut off.
+
+    The memory has two generations of ``CACHE_PIECES`` each: a full one becomes the old one, from
+    which pieces that are met again come back.
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
+    _WIDE = re.compile(r"\s\s|^ | $")
 
     def __init__(self, definition: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer, self._dtype = Tokenizer.from_str(definition), dtype
-        self._known: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = self._CUT.split(text)
-        # the space before a piece is part of it
-        pieces = [first, *(" " + p for p in rest)]
-        missing = {p for p in pieces if p not in self._known}
-        if missing and len(self._known) + len(missing) > CACHE_PIECES:
-            self._known.clear()
-            missing = set(pieces)
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces without the space before them; the first is marked by a space it has not."""
+        pieces = self._CUT.split(text) if self._WIDE.search(text) else text.split(" ")
+        pieces[0] = " " + pieces[0]
+        return pieces
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        texts = [p[1:] if p[0] == " " else " " + p for p in pieces]
+        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [np.array(e.ids, self._dtype).tobytes() for e in found]
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self._young) + len(pieces) > CACHE_PIECES:
+            self._old, self._young = self._young, {}
+        unknown = pieces.difference(self._old)
+        self._young.update((p, self._old[p]) for p in pieces - unknown)
+        asked = list(unknown)
+        self._young.update(zip(asked, self._encode(asked)))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [self._pieces(t) if t else [] for t in texts]
+        pieces = set().union(*split)
+        missing = pieces.difference(self._young)
         if missing:
-            asked = list(missing)
-            found = self._tokenizer.encode_batch(asked, add_special_tokens=False)
-            for piece, encoding in zip(asked, found):
-                self._known[piece] = np.array(encoding.ids, self._dtype).tobytes()
-        return b"".join(map(self._known.__getitem__, pieces))
+            # a full generation is put away, and then all pieces are asked of it
+            full = len(self._young) + len(missing) > CACHE_PIECES
+            self._learn(pieces if full else missing)
+        return [b"".join(map(self._young.__getitem__, p)) for p in split]
 
 
 def _block(part: int, seq: int, docs: list, ids: list[bytes], dtype: str) -> dict:
@@ -150,24 +169,43 @@ def _block(part: int, seq: int, docs: list, ids: list[bytes], dtype: str) -> dic
     }
 
 
+def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(document, ids) of all rows; up to ``GROUP_BYTES`` of text are encoded at once."""
+    docs, texts, held = [], [], 0
+    for batch in batches:
+        for doc, text in text_rows(batch, "doc", "text"):
+            docs.append(doc)
+            texts.append(text.decode())
+            held += len(text)
+            if held > GROUP_BYTES:
+                yield from zip(docs, encoder.ids(texts))
+                docs, texts, held = [], [], 0
+    yield from zip(docs, encoder.ids(texts))
+
+
 def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = Encoder(definition.value, dtype), TaskContext.get().partitionId(), 0
+        # one encoder for the life of the worker, whatever task it runs
+        encoders = sys.__dict__.setdefault("_tidemark_encoders", {})
+        key = (zlib.crc32(definition.value.encode()), dtype)
+        if key not in encoders:
+            encoders.clear()
+            encoders[key] = Encoder(definition.value, dtype)
+        encoder, part, seq = encoders[key], TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype).tobytes()
         docs, ids, held, most = [], [], 0, BLOCK_TOKENS * len(end)
 
         def flush():
             return pa.RecordBatch.from_pylist([_block(part, seq, docs, ids, dtype)], arrow)
 
-        for batch in batches:
-            for doc, text in text_rows(batch, "doc", "text"):
-                encoded = encoder.ids(text.decode()) + end
-                if docs and held + len(encoded) > most:
-                    yield flush()
-                    docs, ids, held, seq = [], [], 0, seq + 1
-                docs.append(doc)
-                ids.append(encoded)
-                held += len(encoded)
+        for doc, encoded in _encoded(encoder, batches):
+            encoded += end
+            if docs and held + len(encoded) > most:
+                yield flush()
+                docs, ids, held, seq = [], [], 0, seq + 1
+            docs.append(doc)
+            ids.append(encoded)
+            held += len(encoded)
         if docs:
             yield flush()
 
