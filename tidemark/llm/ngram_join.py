@@ -12,8 +12,10 @@ are frequent in the corpus come last. A set is cut into fragments at fixed pivot
 3. Of the classes that post one n-gram, all are compared with one centre. Classes then in one
    component need no further comparison; the rest of the posting is compared in further rounds,
    at last pair by pair between different components. No link between components is lost.
-4. A pair is compared fragment by fragment: each fragment counts its partial overlap on its
-   own rows, and the sum per pair decides.
+4. Every set has a bitmap of ``BITMAP`` parities. Two bitmaps differ in no more bits than their
+   sets in n-grams, so pairs whose bitmaps differ too much are left out before any set moves.
+5. The remaining pairs are compared fragment by fragment: each fragment counts its partial overlap
+   on its own rows, and the sum per pair decides.
 
 Defined cases: a null or empty text has no n-grams and is linked with nothing; it is its own
 component. Repeated rows are kept, each with its component. A row whose id is null makes no
@@ -40,6 +42,9 @@ TABLE_BITS = 20
 CLASS_SHIFT = 58
 PIVOTS = tuple(range(1 << 56, (1 << 58) + 1, 1 << 56))
 
+# Bits of a set's parity bitmap.
+BITMAP = 1024
+
 # Comparisons with a centre are repeated while pair-by-pair work would exceed this many pairs
 # for each posted row, but no more often than STAR_ROUNDS.
 PAIRS_PER_ROW = 2
@@ -80,11 +85,18 @@ def _digest(keys: np.ndarray, seed: int) -> int:
     return int(mix(keys + np.uint64(seed)).sum(dtype=np.uint64).view(np.int64))
 
 
+def _bitmap(keys: np.ndarray) -> np.ndarray:
+    """For each of ``BITMAP`` hash values, whether an odd number of the n-grams has it."""
+    places = ((keys >> np.uint64(16)) % np.uint64(BITMAP)).astype(np.int64)
+    odd = (np.bincount(places, minlength=BITMAP) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _set_writer(k: int, percent: int, classes: bytes):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = WordHashes(), np.frombuffer(classes, np.uint8)
         for batch in batches:
-            ids, sizes, d1, d2, prefixes = [], [], [], [], []
+            ids, sizes, d1, d2, prefixes, bits = [], [], [], [], [], []
             for key, text in text_rows(batch, "id", "text"):
                 keys = _keys(text, k, hashes, ranks)
                 n = len(keys)
@@ -92,9 +104,12 @@ def _set_writer(k: int, percent: int, classes: bytes):
                 sizes.append(n)
                 d1.append(_digest(keys, 1))
                 d2.append(_digest(keys, 2))
+                bits.append(_bitmap(keys))
                 prefixes.append(keys[: n + n * -percent // 100 + 1 if n else 0].view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
+            words = np.concatenate([np.zeros(0, np.int64), *bits])
+            word_ends = np.arange(len(bits) + 1) * (BITMAP // 64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -102,8 +117,9 @@ def _set_writer(k: int, percent: int, classes: bytes):
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(words)),
                 ],
-                names=["id", "n", "node", "check", "prefix"],
+                names=["id", "n", "node", "check", "prefix", "bits"],
             )
 
     return write
@@ -156,6 +172,24 @@ def _may_link(percent: int) -> Column:
     )
 
 
+def _by_bitmap(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps do not rule out the similarity."""
+    bits = nodes.select("node", "bits")
+    differing = F.aggregate(
+        F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    size = F.col("a_n") + F.col("b_n")
+    return (
+        pairs.join(bits.withColumnsRenamed({"node": "a", "bits": "a_bits"}), "a")
+        .join(bits.withColumnsRenamed({"node": "b", "bits": "b_bits"}), "b")
+        # an intersection is at most half of what the sizes leave after the difference
+        .where((size - differing) * (100 + percent) >= size * 2 * percent)
+        .select("a", "b", "a_n", "b_n")
+    )
+
+
 def _overlaps(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar: partial overlaps by fragment, summed per pair."""
     left = fragments.withColumnsRenamed({"node": "a", "grams": "a_grams"})
@@ -224,12 +258,14 @@ def ngram_jaccard_components(
     sets = stage(
         texts.mapInArrow(
             _set_writer(k, percent, classes),
-            "id long, n long, node long, check long, prefix array<long>",
+            "id long, n long, node long, check long, prefix array<long>, bits array<long>",
         ),
         "ngram-sets",
     )
     named = sets.where("n > 0 and id is not null").groupBy("node", "n", "check")
-    nodes = named.agg(F.min("id").alias("class_id"))
+    nodes = stage(
+        named.agg(F.min("id").alias("class_id"), F.first("bits").alias("bits")), "ngram-nodes"
+    )
     posted = named.agg(F.first("prefix").alias("prefix")).select(
         "node", "n", F.posexplode("prefix").alias("pos", "gram")
     )
@@ -237,14 +273,22 @@ def ngram_jaccard_components(
     posts = stage(
         posted.withColumn("shared", shared).where("shared").drop("shared"), "ngram-posts"
     )
-    chosen = nodes.join(posts.select("node").distinct(), "node", "left_semi")
-    fragments = stage(
-        texts.join(chosen.select(F.col("class_id").alias("id")).distinct(), "id", "left_semi")
-        .mapInArrow(_fragment_writer(k, classes), "node long, fragment int, grams array<long>")
-        .dropDuplicates(["node", "fragment"]),
-        "ngram-fragments",
-    )
-    links = stage(_overlaps(_stars(posts, percent), fragments, percent), "ngram-links")
+
+    def verified(candidates: DataFrame, turn: int) -> DataFrame:
+        pairs = stage(_by_bitmap(candidates, nodes, percent), f"ngram-pairs-{turn}")
+        either = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        chosen = nodes.join(either, "node", "left_semi").select(F.col("class_id").alias("id"))
+        # staged, so that the planner knows whether the texts have to move at all
+        chosen = stage(chosen.distinct(), f"ngram-chosen-{turn}")
+        fragments = (
+            texts.join(chosen, "id", "left_semi")
+            .mapInArrow(_fragment_writer(k, classes), "node long, fragment int, grams array<long>")
+            .dropDuplicates(["node", "fragment"])
+        )
+        fragments = stage(fragments, f"ngram-fragments-{turn}")
+        return stage(_overlaps(pairs, fragments, percent), f"ngram-links-{turn}")
+
+    links = verified(_stars(posts, percent), 0)
     labels = components(links)
     rows = posts.count()
     for turn in range(STAR_ROUNDS + 1):
@@ -266,13 +310,11 @@ def ngram_jaccard_components(
             break
         last = turn == STAR_ROUNDS or left <= PAIRS_PER_ROW * rows
         found = _rest(undecided, percent) if last else _next_stars(undecided, percent)
-        links = links.unionByName(
-            stage(_overlaps(found, fragments, percent), f"ngram-links-{turn}")
-        )
+        links = links.unionByName(verified(found, turn + 1))
         labels = components(links)
         if last:
             break
-    by_node = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    by_node = nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = by_node.groupBy("label").agg(F.min("class_id").alias("component_id"))
     result = by_node.join(smallest, "label").drop("label")
     out = sets.select("id", "n", "node", "check").join(result, ["node", "n", "check"], "left")
