@@ -12,8 +12,8 @@ are frequent in the corpus come last. A set is cut into fragments at fixed pivot
 3. Of the classes that post one n-gram, all are compared with one centre. Classes then in one
    component need no further comparison; the rest of the posting is compared in further rounds,
    at last pair by pair between different components. No link between components is lost.
-4. Every set has a bitmap of ``BITMAP`` parities. Two bitmaps differ in no more bits than their
-   sets in n-grams, so pairs whose bitmaps differ too much are left out before any set moves.
+4. Every set has a bitmap of parities, as long as the set is large. Two bitmaps differ in no more
+   bits than their sets in n-grams, so pairs whose bitmaps differ too much are left out before any set moves.
 5. The remaining pairs are compared fragment by fragment: each fragment counts its partial overlap
    on its own rows, and the sum per pair decides.
 
@@ -42,8 +42,8 @@ TABLE_BITS = 20
 CLASS_SHIFT = 58
 PIVOTS = tuple(range(1 << 56, (1 << 58) + 1, 1 << 56))
 
-# Bits of a set's parity bitmap.
-BITMAP = 1024
+# Bits of a set's parity bitmap for each of its n-grams, before rounding up.
+BITS_EACH = 2
 
 # Comparisons with a centre are repeated while pair-by-pair work would exceed this many pairs
 # for each posted row, but no more often than STAR_ROUNDS.
@@ -58,10 +58,17 @@ def _bucket(x: np.ndarray) -> np.ndarray:
 def _counter(k: int):
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         hashes, total = WordHashes(), np.zeros(1 << TABLE_BITS, np.int64)
+        found, held = [], 0
         for batch in batches:
             for _, text in text_rows(batch, "id", "text"):
-                grams = np.unique(shingles(hashes.array(text.lower().split()), k))
-                np.add.at(total, _bucket(grams), 1)
+                # repeats within a text count too: only the rough order matters
+                found.append(_bucket(shingles(hashes.array(text.lower().split()), k)))
+                held += len(found[-1])
+                if held > 1 << 21:
+                    total += np.bincount(np.concatenate(found), minlength=len(total))
+                    found, held = [], 0
+        if found:
+            total += np.bincount(np.concatenate(found), minlength=len(total))
         return total
 
     return count
@@ -86,9 +93,13 @@ def _digest(keys: np.ndarray, seed: int) -> int:
 
 
 def _bitmap(keys: np.ndarray) -> np.ndarray:
-    """For each of ``BITMAP`` hash values, whether an odd number of the n-grams has it."""
-    places = ((keys >> np.uint64(16)) % np.uint64(BITMAP)).astype(np.int64)
-    odd = (np.bincount(places, minlength=BITMAP) & 1).astype(np.uint8)
+    """For each of some hash values, whether an odd number of the n-grams has it.
+
+    The length is the power of two at or above ``BITS_EACH`` for every n-gram.
+    """
+    length = max(64, 1 << (BITS_EACH * len(keys) - 1).bit_length())
+    places = ((keys >> np.uint64(8)) % np.uint64(length)).astype(np.int64)
+    odd = (np.bincount(places, minlength=length) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -109,7 +120,7 @@ def _set_writer(k: int, percent: int, classes: bytes):
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
             words = np.concatenate([np.zeros(0, np.int64), *bits])
-            word_ends = np.arange(len(bits) + 1) * (BITMAP // 64)
+            word_ends = np.cumsum([0, *map(len, bits)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -172,11 +183,19 @@ def _may_link(percent: int) -> Column:
     )
 
 
+def _folded(own: str, other: str) -> Column:
+    """A bitmap twice as long as the other one is folded: its halves are the parities of one."""
+    bits, half = F.col(f"{own}_bits"), F.size(f"{other}_bits")
+    longer = F.size(bits) > half
+    halves = (F.slice(bits, 1, half), F.slice(bits, half + 1, half))
+    return F.when(longer, F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))).otherwise(bits)
+
+
 def _by_bitmap(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps do not rule out the similarity."""
     bits = nodes.select("node", "bits")
     differing = F.aggregate(
-        F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.zip_with(_folded("a", "b"), _folded("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, n: total + n,
     )
