@@ -75,7 +75,7 @@ def chunk_spans(lines: Column) -> Column:
 def remove_repeated_chunks(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with shorter texts, and the columns ``lines``, ``removed_lines``, ``removed_chars``."""
+    """``docs`` with shorter texts, and the columns ``removed_lines``, ``removed_chars``."""
     spark_id, key, spans = clear_name(docs, "chunk_id", "chunk_key", "chunk_spans")
     text = F.col(text_col).cast("string")
     keyed = docs.withColumn(spark_id, F.col(id_col).cast("long")).withColumn(key, F.xxhash64(text))
@@ -103,16 +103,22 @@ def remove_repeated_chunks(
         F.collect_set(F.struct("first", "count", "chars", "digest", "is_kept")).alias("list")
     )
     own = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
+    cut = let(
+        lines_of(F.col("text")),
+        lambda lines: F.transform(
+            "list",
+            lambda s: s.withField(
+                "bytes", F.array_join(F.slice(lines, s["first"] + 1, s["count"]), "")
+            ),
+        ),
+    )
     with_bytes = stage(
         rows.dropDuplicates(["id", "key"])
         .join(per_doc, own)
-        .select("id", "key", lines_of(F.col("text")).alias("lines"), F.explode("list").alias("s"))
-        .select(
-            "id", "key", "s.*",
-            F.array_join(F.expr("slice(lines, s.first + 1, s.count)"), "").alias("bytes"),
-        ),
+        .select("id", "key", F.explode(cut).alias("s"))
+        .select("id", "key", "s.*"),
         "line-chunk-bytes",
-    )
+    )
     kept = with_bytes.where("is_kept").select("digest", "chars", F.col("bytes").alias("kept_bytes"))
     others = with_bytes.where("not is_kept")
     removed = (
@@ -139,10 +145,9 @@ def remove_repeated_chunks(
         F.coalesce(gone, F.array()), F.lit(0), lambda a, s: a + s[c]
     )
     cleaned = F.when(gone.isNull(), text).otherwise(let(lines_of(text), clean))
-    lines, n_lines, n_chars = clear_name(docs, "lines", "removed_lines", "removed_chars")
+    n_lines, n_chars = clear_name(docs, "removed_lines", "removed_chars")
     return joined.select(
         *(cleaned.alias(text_col) if c == text_col else F.col(c) for c in docs.columns),
-        F.coalesce(F.size(lines_of(text)), F.lit(0)).alias(lines),
         F.when(gone.isNull(), 0).otherwise(total_of("count")).alias(n_lines),
         F.when(gone.isNull(), 0).otherwise(total_of("chars")).alias(n_chars),
     )

@@ -51,7 +51,7 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.remove_repeated_chunks(table(spark, sf_dir, "documents")).select(
-        "doc_id", "text", "lines", "removed_lines", "removed_chars"
+        "doc_id", "text", "removed_lines", "removed_chars"
     )
 
 
