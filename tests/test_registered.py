@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as registry
 from compare import check, duck
+from tidemark.registry.oracles import ORACLES
+from tidemark.registry.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
-ORACLES = registry.oracle_sql()
-ROWS_ONLY = sorted(set(registry.queries()) - set(ORACLES))
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con():
 
 
 def test_each_oracle_has_a_query():
-    assert set(ORACLES) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_only_the_trained_model_has_no_sql():
