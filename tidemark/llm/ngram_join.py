@@ -315,16 +315,14 @@ def ngram_jaccard_components(
         marked = posts.join(labels.withColumnRenamed("label", "comp"), "node", "left").select(
             "gram", "node", "n", "pos", own
         )
-        per_comp = marked.groupBy("gram", "comp").agg(F.count("*").alias("m"))
-        open_grams = (
-            per_comp.groupBy("gram")
-            .agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
-            .where(F.col("m") * F.col("m") > F.col("same"))
-        )
         undecided = stage(
-            marked.join(open_grams.select("gram"), "gram", "left_semi"), f"ngram-open-{turn}"
+            marked.join(_open_grams(marked).select("gram"), "gram", "left_semi"),
+            f"ngram-open-{turn}",
         )
-        left = open_grams.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)).first()[0]
+        # components only grow, so a posting that is decided stays so and is not read again
+        posts = undecided.drop("comp")
+        unequal = F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)
+        left = _open_grams(undecided).agg(unequal).first()[0]
         if not left:
             break
         last = turn == STAR_ROUNDS or left <= PAIRS_PER_ROW * rows
@@ -346,6 +344,16 @@ def ngram_jaccard_components(
     )
 
 
+def _open_grams(marked: DataFrame) -> DataFrame:
+    """Postings with classes of different components: all their rows, and squares per component."""
+    per_comp = marked.groupBy("gram", "comp").agg(F.count("*").alias("m"))
+    return (
+        per_comp.groupBy("gram")
+        .agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
+        .where(F.col("m") * F.col("m") > F.col("same"))
+    )
+
+
 def _next_stars(undecided: DataFrame, percent: int) -> DataFrame:
     """Pairs with a new centre: the most typical class outside the largest component."""
     size = F.count("*").over(Window.partitionBy("gram", "comp"))
