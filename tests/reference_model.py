@@ -1,7 +1,7 @@
 """The semantics in plain Python over small lists of events, by direct counting.
 
 An event is (user, item, category, behavior, day). Nothing here groups, windows or joins:
-every feature is a sum over the event list.
+every feature is a sum over the event list. A null item or category equals nothing.
 """
 
 ENGAGED = {"buy", "cart", "fav"}
@@ -11,13 +11,21 @@ def popular(events, top):
     counts = {}
     for _, item, cat, _, _ in events:
         counts[item, cat] = counts.get((item, cat), 0) + 1
-    return sorted(counts, key=lambda k: (-counts[k], *k))[:top]
+    return sorted(counts, key=lambda k: (-counts[k], *nulls_last(k)))[:top]
+
+
+def nulls_last(key):
+    return [(value is None, value or 0) for value in key]
 
 
 def features(events, user, item, cat, day, eps):
     def n(test):
         return sum(1 for e in events if test(e))
 
+    if item is None:
+        item = object()
+    if cat is None:
+        cat = object()
     same_day_ui = n(lambda e: e[0] == user and e[1] == item and e[4] == day)
     same_day_uc = n(lambda e: e[0] == user and e[2] == cat and e[4] == day)
     same_day_i = n(lambda e: e[1] == item and e[4] == day)
@@ -50,8 +58,8 @@ def matrix(events, cfg):
         (u, i, c, d) for u, i, c, b, d in events if b in ENGAGED and d in s.labelled
     }
     rows = [(*k, 1) for k in positives]
-    touched = {(u, i, d) for u, i, _, _, d in events}
-    menu = sorted(popular(events, cfg.top_popular))
+    touched = {(u, i, d) for u, i, _, _, d in events if i is not None}
+    menu = sorted(popular(events, cfg.top_popular), key=nulls_last)
     for user, day in {(u, d) for u, _, _, d in positives}:
         unseen = [(i, c) for i, c in menu if (user, i, day) not in touched]
         rows += [(user, i, c, day, 0) for i, c in unseen[: cfg.neg_ratio]]

@@ -40,6 +40,13 @@ def random_events(seed, n=400, users=6, items=14, days=9, two_categories=True):
     return events
 
 
+def with_holes(events, seed):
+    """Null items, null categories and rows with neither: empty fields of the log."""
+    r = random.Random(seed)
+    hole = lambda value: None if r.random() < 0.2 else value
+    return [(u, hole(i), hole(c), b, d) for u, i, c, b, d in events]
+
+
 def collected(df):
     return sorted(
         [tuple(r) for r in df.drop("event_date").select(
@@ -68,6 +75,30 @@ def test_matrix_equals_direct_counting(spark, seed, cfg):
     assert collected(built) == sorted(reference_model.matrix(events, cfg), key=repr)
 
 
+@pytest.mark.parametrize("floor", [None, 2])
+def test_null_items_and_categories_have_no_history(spark, monkeypatch, floor):
+    """In the fused path and the join by day, with and without salted joins."""
+    if floor is not None:
+        monkeypatch.setattr(skew, "HOT_FLOOR", floor)
+    events = with_holes(random_events(13), 13)
+    cfg = FeatureConfig(top_popular=12, neg_ratio=8)
+    raw = lake(spark, events)
+    days = with_day(raw, day_index(raw))
+    fused = stage(matrix.build_matrix(matrix.stage_day_counts(raw), cfg), "fused")
+    wanted = sorted(reference_model.matrix(events, cfg), key=repr)
+    assert any(row[1] is None and row[4] == 0 for row in wanted)
+    assert collected(fused) == wanted
+    joined = matrix.point_in_time_join(
+        fused.select(*MATRIX_KEYS),
+        history.user_item_history(history.day_counts(days, "user_id", "item_id")),
+        history.user_category_history(history.day_counts(days, "user_id", "category_id")),
+        history.item_history(history.day_counts(days, "item_id")),
+        history.category_history(history.day_counts(days, "category_id")),
+        cfg,
+    )
+    assert collected(joined) == wanted
+
+
 def test_labelled_and_scoring_matrix_are_parts_of_the_whole(spark):
     events = random_events(7)
     cfg = FeatureConfig()

@@ -27,14 +27,14 @@ def positive_user_days(positives: DataFrame) -> DataFrame:
 
 
 def popular_items(counts: DataFrame, top: int) -> DataFrame:
-    """The ``top`` (item, category) pairs by events over all days, ties by the ids.
+    """The ``top`` (item, category) pairs by events over all days, ties by the ids, null ids last.
 
     ``counts`` has an event count ``n`` at any grain that includes item and category.
     """
     return (
         counts.groupBy("item_id", "category_id")
         .agg(F.sum("n").alias("pop"))
-        .orderBy(F.desc("pop"), "item_id", "category_id")
+        .orderBy(F.desc("pop"), F.asc_nulls_last("item_id"), F.asc_nulls_last("category_id"))
         .limit(top)
     )
 
@@ -55,8 +55,15 @@ def _menu(popular: DataFrame) -> DataFrame:
 
 
 def _menu_array(menu: DataFrame) -> Column:
-    """The whole list as one array value, in item order, through a scalar subquery."""
-    entry = F.struct("item_id", "category_id", "word", "bit")
+    """The whole list as one array value, in item order with nulls last, through a scalar subquery."""
+    entry = F.struct(
+        F.isnull("item_id").alias("no_item"),
+        "item_id",
+        F.isnull("category_id").alias("no_category"),
+        "category_id",
+        "word",
+        "bit",
+    )
     return menu.agg(F.array_sort(F.collect_list(entry)).alias("menu")).scalar()
 
 

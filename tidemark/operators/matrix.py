@@ -63,17 +63,19 @@ def item_day_features(counts: DayCounts, splits: Splits) -> DataFrame:
     """Item and category history per (item, category, day) of the used days.
 
     Category features join the item table here, where a row stands for all users, so the
-    much larger candidate table needs one join for both.
+    much larger candidate table needs one join for both. A null item has no history, but its
+    row carries the features of its category; a null category has none either.
     """
     per_category = roll_up(counts.items, "category_id")
-    popularity = total_before("n", "item_id").alias("item_popularity")
+    popularity = F.when(F.col("item_id").isNotNull(), total_before("n", "item_id"))
     keys = ["category_id", "day"]
     return skew_join(
-        counts.items.select("item_id", *keys, popularity).where(in_days(splits.used)),
-        category_history(per_category).where(in_days(splits.used)),
+        counts.items.select("item_id", *keys, popularity.alias("item_popularity")).where(in_days(splits.used)),
+        category_history(per_category).where(in_days(splits.used)).dropna(subset=keys),
         keys,
         "left",
         hot_keys(per_category, keys, "parts", counts.item_rows),
+        nulls_match=True,
     )
 
 
@@ -82,13 +84,15 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
 
     Each such row is itself a row of the pair counts, so the user-item history is a window
     over them and no join. The pairs are distinct already, hence no ``distinct`` either.
+    A window puts null keys together, a join does not: such rows have no user-item history.
     """
     labelled_days = splits.labelled if labelled else ()
     infer_days = splits.infer if infer else ()
     wanted = (in_days(labelled_days) & (F.col("engaged") > 0)) | in_days(infer_days)
+    known = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
     rows = (
         counts.pairs.where(F.col("day") <= max(labelled_days + infer_days))
-        .withColumn("user_item_freq", total_before("n", "user_id", "item_id"))
+        .withColumn("user_item_freq", F.when(known, total_before("n", "user_id", "item_id")))
         .where(wanted)
         .withColumn("label", F.when(in_days(labelled_days), 1).cast("int"))
         .drop("n", "engaged")
@@ -100,6 +104,7 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
         keys,
         "left",
         hot_keys(counts.items, keys, "parts", counts.pair_rows),
+        nulls_match=True,
     )
 
 
@@ -153,10 +158,10 @@ def build_matrix(
     if may_have_hot_keys(counts.pair_rows):
         per_user_category = stage(per_user_category, "user-category")
     keys = ["user_id", "category_id", "day"]
-    history = user_category_history(per_user_category).where(in_days(used))
+    history = user_category_history(per_user_category).where(in_days(used)).dropna(subset=keys)
     hot = hot_keys(per_user_category, keys, "parts", counts.pair_rows)
     return (
-        skew_join(rows, history, keys, "left", hot)
+        skew_join(rows, history, keys, "left", hot, nulls_match=True)
         .withColumn("split", split_label(splits))
         .select(*MATRIX_KEYS, *feature_columns(cfg.epsilon))
         .select(*MATRIX_COLS)
@@ -185,5 +190,7 @@ def point_in_time_join(
         (["category_id", "day"], category),
     ):
         counted = candidates.groupBy(*keys).agg(F.count("*").alias("n"))
-        rows = skew_join(rows, history, keys, "left", hot_keys(counted, keys, "n", size))
+        hot = hot_keys(counted, keys, "n", size)
+        # null keys find nothing; matched as nulls they are spread when they are many
+        rows = skew_join(rows, history.dropna(subset=keys), keys, "left", hot, nulls_match=True)
     return rows.select(*candidates.columns, *feature_columns(cfg.epsilon))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,27 +44,46 @@ def hot_keys(
     return counted.where(F.col(weight) > limit).select(*keys, parts.alias(_PARTS))
 
 
+def _join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, nulls_match: bool
+) -> DataFrame:
+    if not nulls_match:
+        return left.join(right, keys, how)
+    other = {key: f"_other_{key}" for key in keys}
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in other.items()]
+    joined = left.join(right.withColumnsRenamed(other), reduce(and_, same), how)
+    return joined.drop(*other.values())
+
+
 def skew_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    hot: DataFrame | None,
+    nulls_match: bool = False,
 ) -> DataFrame:
     """``left`` joined to ``right`` with the rows of every hot key spread over several tasks.
 
     Hot rows of ``left`` get a part number from a hash of the row and its input partition,
     so copies of one row spread too, and a retried task gives the same numbers again. The
     matching rows of ``right`` are repeated once per part; the parts of all hot keys add up
-    to at most ``2 * HOT_KEYS``.
+    to at most ``2 * HOT_KEYS``. With ``nulls_match`` a null key equals a null key, and a hot
+    one is spread like any other.
     """
     if how not in ("left", "left_semi", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     if hot is None:
-        return left.join(right, keys, how)
+        return _join(left, right, keys, how, nulls_match)
     hot = F.broadcast(hot)
     spread = F.xxhash64(*left.columns, F.spark_partition_id())
     part_of = F.when(
         F.col(_PARTS).isNotNull(), F.pmod(spread, F.col(_PARTS)).cast("int")
     ).otherwise(0)
-    salted = left.join(hot, keys, "left").withColumn(_SALT, part_of).drop(_PARTS)
+    marked = _join(left, hot, keys, "left", nulls_match)
+    salted = marked.withColumn(_SALT, part_of).drop(_PARTS)
     all_parts = F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)
-    repeated = right.join(hot, keys, "left").withColumn(_SALT, F.explode(all_parts)).drop(_PARTS)
-    return salted.join(repeated, keys + [_SALT], how).drop(_SALT)
+    copied = _join(right, hot, keys, "left", nulls_match)
+    repeated = copied.withColumn(_SALT, F.explode(all_parts)).drop(_PARTS)
+    return _join(salted, repeated, keys + [_SALT], how, nulls_match).drop(_SALT)

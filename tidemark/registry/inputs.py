@@ -108,6 +108,17 @@ def lake(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
     return read_raw_events(spark, _lake_root(spark, sf_dir, monthly))
 
 
+def with_unknowns(raw: DataFrame) -> DataFrame:
+    """The same events, a sixth without an item and a fifth without a category."""
+    second = F.col("timestamp")
+    return raw.withColumns(
+        {
+            "item_id": F.when(second % 6 != 0, F.col("item_id")),
+            "category_id": F.when(second % 5 != 0, F.col("category_id")),
+        }
+    )
+
+
 def fresh_matrices(spark: SparkSession, sf_dir: str, monthly: bool = False) -> str:
     """Run the feature job into a new root."""
     root = scratch_path(spark, "matrices")

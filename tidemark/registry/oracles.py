@@ -214,6 +214,14 @@ def _sql(relations: dict[str, str], final: str) -> str:
 
 _daily = _relations(_DAILY_LOG, _DAILY_DATE, DAILY, DAILY_FEATURES)
 _strict = _relations(_DAILY_LOG, _DAILY_DATE, DAILY_STRICT, DAILY_FEATURES)
+_unknowns = _relations(
+    f"""
+    SELECT user_id, CASE WHEN timestamp % 6 <> 0 THEN item_id END AS item_id,
+           CASE WHEN timestamp % 5 <> 0 THEN category_id END AS category_id,
+           behavior_type, timestamp
+    FROM ({_DAILY_LOG})""",
+    _DAILY_DATE, DAILY, DAILY_FEATURES,
+)
 _monthly = _relations(_MONTHLY_LOG, _MONTHLY_DATE, MONTHLY, MONTHLY_FEATURES)
 
 _LOG_COLS = "user_id, item_id, category_id, behavior_type, timestamp"
@@ -421,6 +429,8 @@ SELECT count(*) AS rows, count(DISTINCT user_id) AS users,
 FROM raw""",
 }
 
+_FINAL_UNKNOWNS = {"feature_matrix_with_nulls": f"SELECT {_MATRIX} FROM matrix"}
+
 _FINAL_MONTHLY = {
     "monthly_bootstrap_events": f"SELECT {_LAKE} FROM raw",
     "monthly_popular_items": "SELECT item_id, category_id, pop FROM popular",
@@ -442,5 +452,6 @@ FROM report""",
 
 for _relations_of, _finals in (
     (_daily, _FINAL_DAILY), (_strict, _FINAL_STRICT), (_monthly, _FINAL_MONTHLY),
+    (_unknowns, _FINAL_UNKNOWNS),
 ):
     ORACLES.update({name: _sql(_relations_of, final.strip()) for name, final in _finals.items()})

@@ -288,6 +288,13 @@ def feature_matrix(spark, sf_dir):
     return plain(matrix.build_matrix(counts, DAILY_FEATURES, infer=False))
 
 
+@query
+def feature_matrix_with_nulls(spark, sf_dir):
+    """All splits from the same log with some items and categories unknown."""
+    raw = inputs.with_unknowns(inputs.lake(spark, sf_dir))
+    return plain(matrix.build_matrix(matrix.stage_day_counts(raw), DAILY_FEATURES))
+
+
 @query
 def inference_matrix(spark, sf_dir):
     counts = matrix.stage_day_counts(inputs.lake(spark, sf_dir))
