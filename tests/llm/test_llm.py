@@ -1,6 +1,8 @@
 """The training-data operators against brute force, on small tables with the awkward rows."""
 
 import hashlib
+import itertools
+import re
 import zlib
 from collections import defaultdict
 
@@ -168,6 +170,40 @@ def test_repeated_chunks_go_and_the_rest_stays(spark):
         assert prose(200 + i, 30) in got[i]["text"] and prose(300 + i, 30) in got[i]["text"]
 
 
+def brute_without_chunks(rows):
+    """Chunks of two lines, in the order of ids: what was seen before goes, first copies stay."""
+    seen, out = set(), {}
+    for i, text in sorted(r for r in rows if r[1] is not None):
+        lines = re.split(r"(?<=\n)|(?<=[.!?] )", text)
+        gone, pairs = set(), list(zip(lines, lines[1:]))
+        for at, pair in enumerate(pairs):
+            if pair in seen:
+                gone |= {at, at + 1}
+            seen.add(pair)
+        for at in sorted(gone):
+            if at - 1 not in gone:
+                run = list(itertools.takewhile(gone.__contains__, itertools.count(at)))
+                if sum(len(lines[j]) for j in run) < 40:
+                    gone -= set(run)
+        out[i] = ("".join(x for j, x in enumerate(lines) if j not in gone), len(gone))
+    return out
+
+
+def test_short_repeated_passages_go_whole(spark):
+    rng, rows = np.random.default_rng(8), []
+    for p in range(60):
+        passage = " ".join(f"{prose(4000 + 10 * p + j, 14)}." for j in range(2 + p % 5))
+        for copy in range(2):
+            head, tail = (f"{prose(int(rng.integers(10**6)), 20)}." for _ in range(2))
+            rows.append((2 * p + copy, f"{head} {passage} {tail}"))
+    rows += [(200, "Hi. Yo. " + rows[0][1]), (201, "Hi. Yo. "), (202, "Same old line here.\n" * 9), (203, None)]
+    out = line_chunks.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: (r["text"], r["removed_lines"]) for r in out.collect() if r["doc_id"] != 203}
+    assert got == brute_without_chunks(rows)
+    for p in range(60):
+        assert got[2 * p + 1][1] == 2 + p % 5 and got[2 * p][1] == 0
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<html>" + "é" * 200 + "\r\n\r\nWARC/1.1\r\n</html>"
     rows = [(3, "http://a/\r\nx", big), (1, None, big), (2, "u", "small"), (4, "u", "small"),

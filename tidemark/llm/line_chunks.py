@@ -1,18 +1,21 @@
 """Removing line chunks that repeat across the corpus, with Spark's own functions only.
 
 A text is cut into lines: at line feeds, and after the end of a sentence, so that a long physical
-line is several. A rolling hash over the hashes of ``WINDOW`` lines ends a chunk where it is a
-multiple of ``SPACING``. Whether a line ends a chunk depends on the lines of the window alone, so
-that boundaries inside a passage are found again wherever the passage stands.
-
-Chunks of ``LEAST_LINES`` lines and ``LEAST_CHARS`` characters or more are grouped by digest over
-the whole corpus. The first in the order of (id, text, place) is kept; every other is removed once
-its bytes equal those of the kept one. Digests and places are shuffled for all chunks, bytes only
-for those whose digest repeats; digests with many chunks are salted in the joins.
-
-Defined cases: null texts stay null, empty ones empty. Rows with one id and text are treated alike:
-what one loses the other loses too. A chunk that repeats within a document keeps its first place.
-Extra columns are kept.
+line is several. Every line but the first ends a chunk, the ``WINDOW`` lines up to it. Chunks
+overlap and depend on their own lines alone, so every chunk inside a passage is found again
+wherever the passage stands, and no line of a repeated passage is in none.
+
+Chunks are grouped by digest over the whole corpus. The first in the order of (id, text, place) is
+kept; every other is marked once its bytes equal those of the kept one. Lines in marked chunks are
+removed where ``LEAST_CHARS`` characters or more stand side by side. A marked chunk has an earlier
+copy of each of its lines, so the first copy of every line stays. Digests and places are shuffled
+for all chunks, bytes only for those whose digest repeats; digests with many chunks are salted in
+the joins.
+
+Defined cases: null texts stay null, empty ones empty. A repeated line between lines that do not
+repeat with it is no chunk and stays. Rows with one id and text are treated alike: what one loses
+the other loses too. A chunk that repeats within a document keeps its first place. Extra columns
+are kept.
 """
 
 from __future__ import annotations
@@ -25,8 +28,6 @@ from tidemark.operators.skew import hot_keys, skew_join
 from tidemark.session import stage
 
 WINDOW = 2
-SPACING = 2
-LEAST_LINES = 2
 LEAST_CHARS = 40
 
 _CUT = r"(?<=\n)|(?<=[.!?] )"
@@ -37,70 +38,91 @@ def lines_of(text: Column) -> Column:
     return F.split(text, _CUT, -1)
 
 
-def chunk_spans(lines: Column) -> Column:
-    """Array of (first, count, chars, digest) of the chunks that are long enough to remove."""
+def chunk_digests(lines: Column) -> Column:
+    """Digest of the chunk that starts at each line but the last ``WINDOW - 1``."""
 
-    def spans(own: Column) -> Column:
-        def ends(hashes: Column) -> Column:
-            n = F.size(hashes)
+    def digests(hashes: Column) -> Column:
+        firsts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0)))
+        return F.transform(
+            firsts, lambda _, i: F.xxhash64(*(F.get(hashes, i + j) for j in range(WINDOW)))
+        )
+
+    return let(F.transform(lines, lambda x: F.xxhash64(x)), digests)
+
+
+def _spans(firsts: Column, lines: Column) -> Column:
+    """Ascending (first, count, chars) of the adjoining lines in the chunks at ``firsts``."""
+
+    def moved(a: Column, by: int) -> Column:
+        return F.transform(a, lambda x: x + by)
+
+    def between(covered: Column) -> Column:
+        starts = F.array_sort(F.array_except(covered, moved(covered, 1)))
+        ends = F.array_sort(F.array_except(covered, moved(covered, -1)))
+        return F.zip_with(
+            starts, ends, lambda a, b: F.struct(a.alias("first"), (b - a + 1).alias("count"))
+        )
+
+    def measured(s: Column) -> Column:
+        own = F.array_join(F.slice(lines, s["first"] + 1, s["count"]), "")
+        return s.withField("chars", F.length(own))
 
-            def is_end(i: Column) -> Column:
-                parts = [F.get(hashes, i - j) for j in range(WINDOW)]
-                return (i == n - 1) | (F.pmod(F.xxhash64(*parts), F.lit(SPACING)) == 0)
+    covered = F.array_distinct(F.flatten(F.array(*(moved(firsts, j) for j in range(WINDOW)))))
+    return F.filter(F.transform(let(covered, between), measured), lambda s: s["chars"] >= LEAST_CHARS)
 
-            return F.filter(F.sequence(F.lit(0), n - 1), is_end)
 
-        def between(found: Column) -> Column:
-            def span(end: Column, j: Column) -> Column:
-                first = F.when(j == 0, 0).otherwise(F.get(found, j - 1) + 1)
-                return F.struct(first.alias("first"), (end - first + 1).alias("count"))
+def _without(lines: Column, spans: Column) -> Column:
+    """(text, lines, chars): the text without the spans, and how much they are."""
 
-            return F.filter(F.transform(found, span), lambda s: s["count"] >= LEAST_LINES)
+    def before(s: Column, j: Column) -> Column:
+        last = F.get(spans, j - 1)
+        start = F.when(j == 0, 0).otherwise(last["first"] + last["count"])
+        return F.array_join(F.slice(lines, start + 1, s["first"] - start), "")
 
-        def measured(s: Column) -> Column:
-            return let(
-                F.array_join(F.slice(own, s["first"] + 1, s["count"]), ""),
-                lambda t: F.struct(
-                    s["first"].alias("first"), s["count"].alias("count"),
-                    F.length(t).alias("chars"), F.xxhash64(t).alias("digest"),
-                ),
-            )
+    none = F.struct(
+        F.size(lines).alias("first"), F.lit(0).alias("count"), F.lit(0).alias("chars")
+    )
 
-        found = let(let(F.transform(own, lambda x: F.xxhash64(x)), ends), between)
-        return F.filter(F.transform(found, measured), lambda s: s["chars"] >= LEAST_CHARS)
+    def total(c: str) -> Column:
+        return F.aggregate(spans, F.lit(0), lambda a, s: a + s[c])
 
-    return let(lines, spans)
+    rest = let(
+        F.concat(spans, F.array(none)),
+        lambda every: F.array_join(F.transform(every, before), ""),
+    )
+    return F.struct(rest.alias("text"), total("count").alias("lines"), total("chars").alias("chars"))
 
 
 def remove_repeated_chunks(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with shorter texts, and the columns ``removed_lines``, ``removed_chars``."""
-    spark_id, key, spans = clear_name(docs, "chunk_id", "chunk_key", "chunk_spans")
+    spark_id, key, firsts, rest = clear_name(
+        docs, "chunk_id", "chunk_key", "chunk_firsts", "chunk_rest"
+    )
     text = F.col(text_col).cast("string")
     keyed = docs.withColumn(spark_id, F.col(id_col).cast("long")).withColumn(key, F.xxhash64(text))
     rows = keyed.select(F.col(spark_id).alias("id"), F.col(key).alias("key"), text.alias("text"))
     chunks = stage(
         rows.where("text is not null")
-        .select("id", "key", F.explode(chunk_spans(lines_of(F.col("text")))).alias("s"))
-        .select("id", "key", "s.*"),
+        .select("id", "key", F.posexplode(chunk_digests(lines_of(F.col("text")))).alias("first", "digest")),
         "line-chunks",
     )
     place = F.struct("id", "key", "first")
     groups = stage(
-        chunks.groupBy("digest", "chars")
+        chunks.groupBy("digest")
         .agg(F.count("*").alias("n"), F.min(place).alias("kept"))
         .where("n > 1"),
         "line-chunk-groups",
     )
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = hot_keys(groups, ["digest", "chars"], "n", total)
-    repeated = skew_join(chunks, groups.drop("n"), ["digest", "chars"], "inner", hot).select(
-        "id", "key", "first", "count", "chars", "digest",
+    hot = hot_keys(groups, ["digest"], "n", total)
+    repeated = skew_join(chunks, groups.drop("n"), ["digest"], "inner", hot).select(
+        "id", "key", "first", "digest",
         F.struct("id", "key", "first").eqNullSafe(F.col("kept")).alias("is_kept"),
     )
     per_doc = repeated.groupBy(F.col("id").alias("r_id"), F.col("key").alias("r_key")).agg(
-        F.collect_set(F.struct("first", "count", "chars", "digest", "is_kept")).alias("list")
+        F.collect_set(F.struct("first", "digest", "is_kept")).alias("list")
     )
     own = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
     cut = let(
@@ -108,7 +130,7 @@ def remove_repeated_chunks(
         lambda lines: F.transform(
             "list",
             lambda s: s.withField(
-                "bytes", F.array_join(F.slice(lines, s["first"] + 1, s["count"]), "")
+                "bytes", F.array_join(F.slice(lines, s["first"] + 1, WINDOW), "")
             ),
         ),
     )
@@ -119,35 +141,27 @@ def remove_repeated_chunks(
         .select("id", "key", "s.*"),
         "line-chunk-bytes",
     )
-    kept = with_bytes.where("is_kept").select("digest", "chars", F.col("bytes").alias("kept_bytes"))
+    kept = with_bytes.where("is_kept").select("digest", F.col("bytes").alias("kept_bytes"))
     others = with_bytes.where("not is_kept")
     removed = (
-        skew_join(others, kept, ["digest", "chars"], "inner", hot)
+        skew_join(others, kept, ["digest"], "inner", hot)
         .where("bytes = kept_bytes")
         .groupBy(F.col("id").alias("r_id"), F.col("key").alias("r_key"))
-        .agg(F.collect_list(F.struct("first", "count", "chars")).alias(spans))
+        .agg(F.collect_set("first").alias(firsts))
     )
     removed = stage(removed, "line-chunk-removed")
     same = F.col(spark_id).eqNullSafe(F.col("r_id")) & (F.col(key) == F.col("r_key"))
     joined = keyed.join(removed, same, "left").drop("r_id", "r_key")
-    gone = F.col(spans)
-
-    def clean(lines: Column) -> Column:
-        gone_lines = F.flatten(
-            F.transform(gone, lambda s: F.sequence(s["first"], s["first"] + s["count"] - 1))
-        )
-        return let(
-            gone_lines,
-            lambda g: F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(g, i)), ""),
-        )
-
-    total_of = lambda c: F.aggregate(
-        F.coalesce(gone, F.array()), F.lit(0), lambda a, s: a + s[c]
+    cleaned = let(
+        lines_of(text),
+        lambda lines: let(_spans(F.col(firsts), lines), lambda spans: _without(lines, spans)),
     )
-    cleaned = F.when(gone.isNull(), text).otherwise(let(lines_of(text), clean))
+    joined = joined.withColumn(rest, F.when(F.col(firsts).isNotNull(), cleaned))
     n_lines, n_chars = clear_name(docs, "removed_lines", "removed_chars")
+    untouched = F.col(rest).isNull()
+    cut_text = F.when(untouched, text).otherwise(F.col(rest)["text"])
     return joined.select(
-        *(cleaned.alias(text_col) if c == text_col else F.col(c) for c in docs.columns),
-        F.when(gone.isNull(), 0).otherwise(total_of("count")).alias(n_lines),
-        F.when(gone.isNull(), 0).otherwise(total_of("chars")).alias(n_chars),
+        *(cut_text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns),
+        F.when(untouched, 0).otherwise(F.col(rest)["lines"]).alias(n_lines),
+        F.when(untouched, 0).otherwise(F.col(rest)["chars"]).alias(n_chars),
     )
