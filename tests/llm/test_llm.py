@@ -83,6 +83,42 @@ def test_a_group_of_near_copies(spark):
     assert got == brute_components(rows, 3, 90)
 
 
+def brute_links(rows, k, percent):
+    first = {}
+    for i, t, *_ in rows:
+        w = (t or "").encode().lower().split()
+        if i is not None and w:
+            grams = frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1)))
+            first[grams] = min(i, first.get(grams, i))
+    return {
+        tuple(sorted((first[x], first[y])))
+        for x, y in itertools.combinations(first, 2)
+        if x & y and 100 * len(x & y) >= percent * len(x | y)
+    }
+
+
+@pytest.mark.parametrize(("percent", "block"), [(90, 1024), (40, 16)])
+def test_the_join_gives_every_link(spark, rows, monkeypatch, percent, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng, own = np.random.default_rng(4), [(r[0], r[1]) for r in rows if r[0] not in (5, 7)]
+    for i in range(100, 160):
+        words = prose(9, 150).split()
+        for at in rng.integers(0, 150, rng.integers(0, 6)):
+            words[at] = f"x{rng.integers(1000)}"
+        own.append((i, " ".join(words)))
+    # long texts, and their first thirds
+    own += [(200 + i, prose(9, 150 if i else 60) + f" t{i}") for i in range(2)]
+    docs = spark.createDataFrame(own, "doc_id long, text string")
+    want = brute_links(own, 3, percent)
+    found = ngram_join.ngram_jaccard_links(docs, percent=percent).collect()
+    assert len(found) == len(want) and set(map(tuple, found)) == want
+    joined = ngram_join.ngram_jaccard_join(docs, percent=percent).collect()
+    for r in joined:
+        assert r["n_links"] == sum(r["class_id"] in pair for pair in want) or r["doc_id"] is None
+    got = sorted({(r[0], r[1], r["component_id"]) for r in joined if r[0] is not None})
+    assert got == sorted(set(brute_components(own, 3, percent)))
+
+
 def test_empty_tables(spark, none):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

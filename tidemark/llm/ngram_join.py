@@ -1,5 +1,9 @@
 """N-gram Jaccard self-join by vertical partitioning, with the components of its links.
 
+``ngram_jaccard_links`` and ``ngram_jaccard_join`` compare all candidates and give every link.
+``ngram_jaccard_components`` is a component search: it skips pairs that are in one component
+already (step 3), so it knows the components and not the links.
+
 Every text is the set of its distinct word n-grams, written in one global order: n-grams that
 are frequent in the corpus come last. A set is cut into fragments at fixed pivots of that order.
 
@@ -9,7 +13,9 @@ are frequent in the corpus come last. A set is cut into fragments at fixed pivot
    ``n - ceil(t * n) + 1`` n-grams: two sets with Jaccard similarity ``t`` share one of them.
    As frequent n-grams come last, a passage in a third of all rows is in few prefixes, and a
    copy whose own edits outnumber the allowed difference posts only those edits.
-3. Of the classes that post one n-gram, all are compared with one centre. Classes then in one
+3. In the join, all classes that post one n-gram are candidates of each other; postings of more
+   than ``BLOCK`` classes are split into blocks, and pairs of blocks are dealt out.
+   In the component search, all are compared with one centre. Classes then in one
    component need no further comparison; the rest of the posting is compared in further rounds,
    at last pair by pair between different components. No link between components is lost.
 4. Every set has a bitmap of parities, as long as the set is large. Two bitmaps differ in no more
@@ -45,6 +51,9 @@ PIVOTS = tuple(range(1 << 56, (1 << 58) + 1, 1 << 56))
 # Bits of a set's parity bitmap for each of its n-grams, before rounding up.
 BITS_EACH = 2
 
+# Classes of a posting that one key of the join holds; larger postings are split.
+BLOCK = 1024
+
 # Comparisons with a centre are repeated while pair-by-pair work would exceed this many pairs
 # for each posted row, but no more often than STAR_ROUNDS.
 PAIRS_PER_ROW = 2
@@ -193,6 +202,9 @@ def _folded(own: str, other: str) -> Column:
 
 def _by_bitmap(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps do not rule out the similarity."""
+    if percent < 50:
+        # sizes may differ so much that one fold does not make the bitmaps equally long
+        return pairs.select("a", "b", "a_n", "b_n")
     bits = nodes.select("node", "bits")
     differing = F.aggregate(
         F.zip_with(_folded("a", "b"), _folded("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
@@ -250,6 +262,29 @@ def _rest(posts: DataFrame, percent: int) -> DataFrame:
     return _pairs(both.withColumnsRenamed({"a_node": "a", "b_node": "b"}), percent)
 
 
+def _all_pairs(posts: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of all classes that post one n-gram."""
+    big = posts.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
+    blocks = F.ceil(F.coalesce("m", F.lit(1)) / BLOCK)
+    dealt = (
+        posts.join(big, "gram", "left")
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "block", "node", "n", "pos",
+        )
+    )
+    names = ("block", "node", "n", "pos")
+    a = dealt.withColumnsRenamed({c: f"a_{c}" for c in names})
+    b = dealt.withColumnsRenamed({c: f"b_{c}" for c in names})
+    # pairs within a block meet where it is paired with itself
+    here = (F.col("low") == F.col("high")) | (F.col("a_block") != F.col("b_block"))
+    both = a.join(b, ["gram", "low", "high"]).where(here & (F.col("a_node") < F.col("b_node")))
+    return _pairs(both.withColumnsRenamed({"a_node": "a", "b_node": "b"}), percent)
+
+
 def _pairs(both: DataFrame, percent: int) -> DataFrame:
     swap = F.col("a") > F.col("b")
     pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
@@ -259,17 +294,8 @@ def _pairs(both: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def ngram_jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
-) -> DataFrame:
-    """(id, n_shingles, class_id, component_id), a row for each row of ``docs``.
-
-    Words are lower-cased in A-Z and separated by ASCII white space. Two rows link when
-    ``100 * |intersection| >= percent * |union|`` of their sets of ``k``-word n-grams.
-    ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id
-    reachable over links.
-    """
-    spark = docs.sparkSession
+def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple:
+    """(sets, nodes, posts, verified): rows, classes, shared postings, and the test of candidates."""
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
@@ -307,6 +333,39 @@ def ngram_jaccard_components(
         fragments = stage(fragments, f"ngram-fragments-{turn}")
         return stage(_overlaps(pairs, fragments, percent), f"ngram-links-{turn}")
 
+    return sets, nodes, posts, verified
+
+
+def _with_components(
+    sets: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str
+) -> DataFrame:
+    """(id, n_shingles, class_id, component_id, node) of every row."""
+    labels = components(links)
+    by_node = nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = by_node.groupBy("label").agg(F.min("class_id").alias("component_id"))
+    result = by_node.join(smallest, "label").drop("label")
+    out = sets.select("id", "n", "node", "check").join(result, ["node", "n", "check"], "left")
+    empty = F.col("n") == 0
+    return out.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(empty, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(~empty, F.col("node")).alias("node"),
+    )
+
+
+def ngram_jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
+) -> DataFrame:
+    """(id, n_shingles, class_id, component_id), a row for each row of ``docs``.
+
+    Words are lower-cased in A-Z and separated by ASCII white space. Two rows link when
+    ``100 * |intersection| >= percent * |union|`` of their sets of ``k``-word n-grams.
+    ``class_id`` is the smallest id with the same set, ``component_id`` the smallest id
+    reachable over links. Only the pairs that this needs are compared.
+    """
+    sets, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent)
     links = verified(_stars(posts, percent), 0)
     labels = components(links)
     rows = posts.count()
@@ -331,16 +390,40 @@ def ngram_jaccard_components(
         labels = components(links)
         if last:
             break
-    by_node = nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = by_node.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    result = by_node.join(smallest, "label").drop("label")
-    out = sets.select("id", "n", "node", "check").join(result, ["node", "n", "check"], "left")
-    empty = F.col("n") == 0
-    return out.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(empty, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    return _with_components(sets, nodes, links, id_col).drop("node")
+
+
+def ngram_jaccard_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
+) -> DataFrame:
+    """(a, b), the ``class_id`` of every two different sets that link, ``a < b``."""
+    _, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent)
+    links = verified(_all_pairs(posts, percent), 0)
+    a = nodes.select(F.col("node").alias("a"), F.col("class_id").alias("a_id"))
+    b = nodes.select(F.col("node").alias("b"), F.col("class_id").alias("b_id"))
+    return (
+        links.join(a, "a")
+        .join(b, "b")
+        .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
+    )
+
+
+def ngram_jaccard_join(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
+) -> DataFrame:
+    """The columns of ``ngram_jaccard_components`` and ``n_links``, from all links.
+
+    ``n_links`` counts the different sets that a row's set links to; a row with an equal set is in
+    its class and no link.
+    """
+    sets, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent)
+    links = verified(_all_pairs(posts, percent), 0)
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+    counted = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+    rows = _with_components(sets, nodes, links, id_col)
+    n_links = F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+    return rows.join(counted, "node", "left").select(
+        id_col, "n_shingles", "class_id", "component_id", n_links
     )
 
 

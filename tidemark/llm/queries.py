@@ -35,7 +35,7 @@ def op1_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
