@@ -1,17 +1,19 @@
 """Log to lake."""
 
+import datetime
 import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.config import IngestConfig
+from tidemark.config import FeatureConfig, IngestConfig
 from tidemark.functions.columns import local_event_date
-from tidemark.operators import ingest
+from tidemark.operators import candidates, ingest
 from tidemark.operators.skew import HOT_KEYS, hot_keys, skew_join
 from tidemark.plans import run_bootstrap
 from tidemark.plans.bootstrap import ingest as ingest_plan
+from tidemark.registry import inputs
 from tidemark.sources.log import LOG_SCHEMA, read_csv_log, read_raw_events, write_raw_partitions
 
 CFG = IngestConfig()
@@ -164,3 +166,22 @@ def test_large_dates_are_written_in_several_files(spark, tmp_path):
         assert read_raw_events(spark, root).count() == 60000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
+def test_all_dates_enter_the_lake(spark):
+    folder = "/root/testdata/sf0.01"
+    lake = inputs.all_dates_lake(spark, folder)
+    per_user = inputs.daily_log(spark, folder).groupBy("user_id").count().where("count >= 10")
+    assert lake.count() == per_user.groupBy().sum("count").first()[0]
+    assert lake.select("event_date").distinct().count() == 31
+
+
+def test_a_long_popular_list_is_allowed(spark):
+    cfg = FeatureConfig(top_popular=1500)
+    rows = [(1, i, i, 1, datetime.date(2024, 1, 4), 4, 1) for i in range(1200)]
+    rows += [(2, 7, 7, 1, datetime.date(2024, 1, 4), 4, 1)]
+    columns = "user_id long, item_id long, category_id long, n long, event_date date, day int, engaged long"
+    counts = spark.createDataFrame(rows, columns)
+    popular = candidates.popular_items(counts, cfg.top_popular)
+    found = candidates.unseen_popular(counts, popular, cfg).collect()
+    assert sorted((r["user_id"], r["item_id"]) for r in found) == [(2, i) for i in range(1200) if i != 7]

@@ -77,9 +77,9 @@ class FeatureConfig:
     splits: Splits = field(default_factory=Splits)
 
     def __post_init__(self):
-        # The popular list is broadcast and carried as an array, so its length is bounded here.
-        if not 1 <= self.top_popular <= 1000:
-            raise ValueError("top_popular must lie in 1..1000")
+        # The popular list is broadcast and carried as an array: this parameter is its length.
+        if self.top_popular < 1:
+            raise ValueError("top_popular must be positive")
         if self.neg_ratio < 0:
             raise ValueError("neg_ratio must not be negative")
 

@@ -21,6 +21,12 @@ DAILY = IngestConfig(ts_min=1704038400, ts_max=1704815999)
 DAILY_STRICT = IngestConfig(ts_min=1704038400, ts_max=1704815999, min_interactions=20)
 DAILY_FEATURES = FeatureConfig()
 
+# Every date of the log, 1970 to 2099; the splits are the last of its 31 local days.
+ALL_DATES = IngestConfig(ts_min=0, ts_max=4102444799)
+ALL_DATES_FEATURES = FeatureConfig(
+    splits=Splits(train=tuple(range(4, 29)), val=(29,), test=(30,), infer=(31,))
+)
+
 # Order dates are sparse per day, so the volume variant counts months: 80 from 1995-01 on.
 MONTHLY = IngestConfig(ts_min=788918400, ts_max=1009843199, timezone="UTC", grain="month")
 MONTHLY_FEATURES = FeatureConfig(
@@ -119,6 +125,23 @@ def with_unknowns(raw: DataFrame) -> DataFrame:
     )
 
 
+def all_dates_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake of the daily log without a time window."""
+
+    def build(root: str) -> None:
+        run_bootstrap(daily_log(spark, sf_dir), root, ALL_DATES)
+
+    return read_raw_events(spark, _once(spark, ("lake", sf_dir, "all"), "lake", build))
+
+
+def all_dates_matrices(spark: SparkSession, sf_dir: str) -> str:
+    """Ingest the daily log without a time window and run the feature job, into new roots."""
+    lake_root, root = scratch_path(spark, "lake"), scratch_path(spark, "matrices")
+    run_bootstrap(daily_log(spark, sf_dir), lake_root, ALL_DATES)
+    run_features(spark, lake_root, root, ALL_DATES_FEATURES)
+    return root
+
+
 def fresh_matrices(spark: SparkSession, sf_dir: str, monthly: bool = False) -> str:
     """Run the feature job into a new root."""
     root = scratch_path(spark, "matrices")

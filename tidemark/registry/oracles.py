@@ -11,6 +11,8 @@ import re
 from tidemark.config import FEATURE_COLS, TOP_K, FeatureConfig, IngestConfig
 from tidemark.functions.scoring import INTERCEPT, WEIGHTS
 from tidemark.registry.inputs import (
+    ALL_DATES,
+    ALL_DATES_FEATURES,
     DAILY,
     DAILY_FEATURES,
     DAILY_STRICT,
@@ -222,6 +224,7 @@ _unknowns = _relations(
     FROM ({_DAILY_LOG})""",
     _DAILY_DATE, DAILY, DAILY_FEATURES,
 )
+_all_dates = _relations(_DAILY_LOG, _DAILY_DATE, ALL_DATES, ALL_DATES_FEATURES)
 _monthly = _relations(_MONTHLY_LOG, _MONTHLY_DATE, MONTHLY, MONTHLY_FEATURES)
 
 _LOG_COLS = "user_id, item_id, category_id, behavior_type, timestamp"
@@ -450,8 +453,15 @@ SELECT report.*,
 FROM report""",
 }
 
+_FINAL_ALL_DATES = {
+    name.replace("monthly_", "all_dates_"): _FINAL_MONTHLY[name]
+    for name in (
+        "monthly_bootstrap_events", "monthly_popular_items", "monthly_run_features", "monthly_topk_per_user"
+    )
+}
+
 for _relations_of, _finals in (
     (_daily, _FINAL_DAILY), (_strict, _FINAL_STRICT), (_monthly, _FINAL_MONTHLY),
-    (_unknowns, _FINAL_UNKNOWNS),
+    (_unknowns, _FINAL_UNKNOWNS), (_all_dates, _FINAL_ALL_DATES),
 ):
     ORACLES.update({name: _sql(_relations_of, final.strip()) for name, final in _finals.items()})

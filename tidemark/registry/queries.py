@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FEATURE_COLS, TOP_K, TrainConfig
 from tidemark.functions import columns, recommendations
+from tidemark.functions.scoring import logistic_score
 from tidemark.operators import audits, candidates, history, ingest, matrix, metrics, model, ranking
 from tidemark.operators.days import day_index, with_day
 from tidemark.plans.bootstrap import ingest as ingest_plan
@@ -601,3 +602,32 @@ def monthly_training_report(spark, sf_dir):
             inputs.matrices(spark, sf_dir, monthly=True),
         )
     )
+
+
+@query
+def all_dates_bootstrap_events(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    run_bootstrap(inputs.daily_log(spark, sf_dir), root, inputs.ALL_DATES)
+    return plain(log_source.read_raw_events(spark, root))
+
+
+@query
+def all_dates_popular_items(spark, sf_dir):
+    counts = matrix.pair_counts(inputs.all_dates_lake(spark, sf_dir))
+    return candidates.popular_items(counts, inputs.ALL_DATES_FEATURES.top_popular)
+
+
+@query
+def all_dates_run_features(spark, sf_dir):
+    root = inputs.all_dates_matrices(spark, sf_dir)
+    return plain(matrix_source.read_matrices(spark, root))
+
+
+@query
+def all_dates_topk_per_user(spark, sf_dir):
+    root = inputs.all_dates_matrices(spark, sf_dir)
+    return ranking.top_k(
+        matrix_source.read_split(spark, root, "infer").select(
+            "user_id", "item_id", "label", logistic_score(inputs.SCORE_DIGITS).alias("score")
+        )
+    )
