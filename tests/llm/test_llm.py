@@ -240,6 +240,23 @@ def test_short_repeated_passages_go_whole(spark):
         assert got[2 * p + 1][1] == 2 + p % 5 and got[2 * p][1] == 0
 
 
+def test_whole_licences_are_found(spark):
+    head = {
+        "MIT": "The MIT License (MIT)", "BSD-2-Clause": "BSD 2-Clause License", "Unlicense": "",
+        "BSD-3-Clause": "BSD 3-Clause License", "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003",
+        "ISC": "ISC License", "Zlib": "The zlib License",
+    }
+    texts = {**licences.TEXTS, **licences.MORE_TEXTS}
+    names = sorted(texts)
+    rows = [(i, f"{head[n]}\n\nCopyright (c) 2020, A. Author\n\n{texts[n]}\n") for i, n in enumerate(names)]
+    rows += [(50, "Terms of my own,\nin two lines"), (51, texts["BSL-1.0"] + " And more.")]
+    more = spark.createDataFrame([("LicenseRef-own", "Terms of MY own, in two lines.")], "license string, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licences.scan_licenses(docs, licences.known_digests(spark, more)).collect()
+    want = {**dict(enumerate(names)), 50: "LicenseRef-own", 51: None}
+    assert {r["doc_id"]: r["license"] for r in found} == want
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<html>" + "é" * 200 + "\r\n\r\nWARC/1.1\r\n</html>"
     rows = [(3, "http://a/\r\nx", big), (1, None, big), (2, "u", "small"), (4, "u", "small"),

@@ -4,8 +4,8 @@ A text is brought to its canonical form: lower case, without copyright lines, eq
 made one, every run of other characters than letters and digits a single space. Whole texts, and
 each line of a document as a text of its own, are hash-joined by SHA-256 to the known digests.
 
-The known texts are some short licences and the usual one-line notices, the latter built by rule
-from phrases and names.
+The known texts are the short licences, bare and under their usual titles, the usual one-line
+notices, built by rule from phrases and names, and whatever table of texts the caller gives.
 
 Defined cases: null and empty texts match nothing. Repeated rows of one id and text give equal
 results. Extra columns are ignored; with an empty table the result is empty.
@@ -13,6 +13,8 @@ results. Extra columns are ignored; with an empty table the result is empty.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,80 @@ the original software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+# Whole licences that ``licenses_sql`` does not list.
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the
+distribution.
+
+"""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+or promote products derived from this software without specific prior written permission.
+
+"""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT
+NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+MORE_TEXTS = {
+    "BSD-2-Clause": _BSD + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD + _BSD_THIRD + _BSD_DISCLAIMER,
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy
+of the software and accompanying documentation covered by this license (the "Software") to use,
+reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of
+the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to
+the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant,
+this restriction and the following disclaimer, must be included in all copies of the Software, in
+whole or in part, and all derivative works of the Software, unless such copies or derivative works are
+solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND
+NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE
+LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in
+source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN
+NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org/>""",
+}
+
+# Titles besides the names.
+TITLES = {
+    "MIT": ("MIT License (MIT)", "MIT Licence", "MIT/X11 License", "Expat License"),
+    "ISC": ("ISC License (ISC)",),
+    "Zlib": ("zlib License (Zlib)", "zlib/libpng License"),
+    "BSD-2-Clause": ('BSD 2-Clause "Simplified" License', "FreeBSD License"),
+    "BSD-3-Clause": ('BSD 3-Clause "New" or "Revised" License', "Revised BSD License"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003",),
+}
+
 # Fixed values: (pattern, replacement) for spellings that mean the same, after lower-casing.
 SPELLINGS = (
     ("licen[cs]e", "license"),
@@ -130,10 +206,31 @@ def known_texts() -> list[tuple[str, str]]:
     return found
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license): one row for each canonical text."""
+def whole_texts() -> list[tuple[str, str]]:
+    """(identifier, text): whole licences, bare and under each title, in their usual spellings."""
+    found = []
+    for spdx, text in {**TEXTS, **MORE_TEXTS}.items():
+        names = (*NAMES[spdx], *TITLES.get(spdx, ()))
+        heads = ["", *names, *(f"The {n}" for n in names)]
+        bodies = {text, re.sub(r"(?m)^\d\. ", "", text), text.replace("https", "http")}
+        found += [
+            (spdx, f"{head}\n\n{rights}\n\n{body}")
+            for head in heads
+            for rights in ("", "All rights reserved.")
+            for body in sorted(bodies)
+        ]
+    return found
+
+
+def known_digests(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """(digest, license): one row for each canonical text.
+
+    ``more`` has the columns ``license`` and ``text``: further whole texts, as of the long licences.
+    """
     schema = T.StructType([T.StructField("license", T.StringType()), T.StructField("text", T.StringType())])
-    texts = spark.createDataFrame(known_texts(), schema)
+    texts = spark.createDataFrame(known_texts() + whole_texts(), schema)
+    if more is not None:
+        texts = texts.unionByName(more.select("license", "text").where("text is not null"))
     digest = F.sha2(canonical(F.col("text")).cast("binary"), 256)
     return texts.groupBy(digest.alias("digest")).agg(F.min("license").alias("license"))
 
