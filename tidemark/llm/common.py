@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,18 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
     return max(least, -(-input_bytes(df) // bytes_each))
 
 
+@contextmanager
+def arrow_batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs inside: for rows that are large themselves."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered while there is room."""
 

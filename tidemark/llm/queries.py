@@ -15,9 +15,12 @@ from tidemark.llm import (
     mixing,
     ngram_join,
     order_minhash,
+    ranked_search,
+    simhash_tiles,
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
@@ -81,6 +84,19 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licenses(table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit_whitening(rows))
+
+
+def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_tiles.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_fusion": op1_language_fusion,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -92,10 +108,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_contained_items": op8_contained_items,
     "op9_toxicity": op9_toxicity,
     "op10_license_digests": op10_license_digests,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_pair_maxscore": op12_pair_maxscore,
+    "op13_simhash_tiles": op13_simhash_tiles,
 }
 
 # Plain SQL for the queries that it can express.
 ORACLES: dict[str, str] = {
     "op8_contained_items": containment.containment_sql(),
     "op10_license_digests": licences.licenses_sql(),
+    "op12_pair_maxscore": ranked_search.search_sql(),
 }
