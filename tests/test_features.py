@@ -4,15 +4,17 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import reference_model
 from tidemark.config import FEATURE_COLS, MATRIX_COLS, MATRIX_KEYS, FeatureConfig, Splits
 from tidemark.operators import candidates, history, matrix, skew
 from tidemark.operators.days import day_index, with_day
+from tidemark.operators.metrics import split_counts
 from tidemark.plans import run_features
 from tidemark.session import scratch_root, stage
 from tidemark.sources.log import LAKE_SCHEMA, write_raw_partitions
-from tidemark.sources.matrices import MATRIX_SCHEMA, read_matrices, read_split
+from tidemark.sources.matrices import MATRIX_SCHEMA, read_matrices, read_split, write_split_matrices
 from tidemark.sources.storage import subdirectories
 
 START = date(2020, 3, 1)
@@ -205,8 +207,10 @@ def test_popularity_ties_break_by_item(spark):
     assert [r["item_id"] for r in top] == [2, 4, 6]
 
 
-def test_more_popular_items_than_bits_in_a_word(spark):
-    """150 popular items need three words of marks."""
+@pytest.mark.parametrize("few", [1_000_000, 2])
+def test_many_popular_items(spark, monkeypatch, few):
+    """Also where the list is too long to be broadcast."""
+    monkeypatch.setattr(candidates, "BROADCAST_ROWS", few)
     events = [(1, i, 0, "pv", d) for i in range(150) for d in (1, 4)]
     events = [e for e in events if not (e[4] == 4 and e[1] in (149, 70, 64, 63, 62, 0))]
     events += [(1, 500, 3, "buy", 4), (2, 501, 3, "buy", 4)]
@@ -219,6 +223,43 @@ def test_more_popular_items_than_bits_in_a_word(spark):
     rows = candidates.sample_negatives(pairs, popular, cfg).collect()
     chosen = {u: sorted(r["item_id"] for r in rows if r["user_id"] == u) for u in (1, 2)}
     assert chosen == {1: [0, 62, 63, 64, 70], 2: [0, 1, 2, 3, 4]}
+    every = candidates.unseen_popular(pairs, popular, cfg).collect()
+    assert sorted(r["item_id"] for r in every if r["user_id"] == 1) == [0, 62, 63, 64, 70, 149]
+    assert sorted(r["item_id"] for r in every if r["user_id"] == 2) == list(range(150))
+
+
+@pytest.mark.parametrize(("top", "ratio"), [(1, 4), (20, 4), (1000, 0), (1000, 7), (50_000, 3)])
+def test_negatives_equal_a_direct_search(spark, top, ratio):
+    """Items in several categories, users who touched all of the list's head, lists of any length."""
+    r = random.Random(top)
+    events = [(u, r.randrange(40), r.randrange(2), r.choice(["pv", "buy"]), d)
+              for u in range(12) for d in (1, 4, 5) for _ in range(r.randrange(30))]
+    events += [(99, i, c, "buy", 4) for i in range(40) for c in (0, 1)]  # nothing unseen
+    # days 4 and 5 are the second and third date that occur
+    cfg = FeatureConfig(top_popular=top, neg_ratio=ratio, splits=Splits(train=(2, 3), val=(7,), test=(8,), infer=(9,)))
+    raw = lake(spark, events)
+    pairs = matrix.pair_counts(raw)
+    popular = candidates.popular_items(pairs, top)
+    menu = sorted((p["item_id"], p["category_id"]) for p in popular.collect())
+    want = []
+    for user, date in {(e[0], e[4]) for e in events if e[3] == "buy" and e[4] in (4, 5)}:
+        touched = {e[1] for e in events if (e[0], e[4]) == (user, date)}
+        want += [(user, i, c, date - 2) for i, c in [m for m in menu if m[0] not in touched][:ratio]]
+    rows = candidates.sample_negatives(pairs, popular, cfg).collect()
+    assert sorted((x["user_id"], x["item_id"], x["category_id"], x["day"]) for x in rows) == sorted(want)
+
+
+def test_the_state_of_negatives_does_not_grow_with_the_list(spark):
+    """One set per group however long the list: no column for each of its parts."""
+    raw = lake(spark, random_events(10))
+    pairs = matrix.pair_counts(raw)
+    plans = []
+    for top in (20, 50_000):
+        cfg = FeatureConfig(top_popular=top)
+        popular = candidates.popular_items(pairs, top)
+        rows = candidates.sample_negatives(pairs, popular, cfg)
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString().count("collect_set"))
+    assert plans[0] == plans[1] == 1
 
 
 def test_negatives_are_never_touched_that_day(spark):
@@ -253,8 +294,51 @@ def test_job_writes_splits_and_reruns_to_the_same_result(spark, tmp_path):
     assert read_split(spark, out, "val").dtypes == [
         (f.name, f.dataType.simpleString()) for f in MATRIX_SCHEMA
     ]
-    plan = read_split(spark, out, "val")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(split" in plan
+    for rows in (read_split(spark, out, "val"), read_matrices(spark, out).where("split = 'val'")):
+        assert rows.inputFiles() and all("/split=val/" in f for f in rows.inputFiles())
+
+
+def split_names(spark, root):
+    return {r["split"] for r in read_matrices(spark, root).select("split").distinct().collect()}
+
+
+def test_a_rerun_with_fewer_dates_leaves_no_stale_split(spark, tmp_path):
+    lake_root, out = str(tmp_path / "lake"), tmp_path / "out"
+    write_raw_partitions(lake(spark, random_events(12)), lake_root)
+    whole = run_features(spark, lake_root, str(out))
+    assert split_names(spark, str(out)) == {"train", "val", "test", "infer"} and whole["infer"] > 0
+    short = str(tmp_path / "short")
+    write_raw_partitions(lake(spark, [e for e in random_events(12) if e[4] <= 7]), short)
+    counts = run_features(spark, short, str(out))
+    assert split_names(spark, str(out)) == {"train", "val"}
+    assert counts == split_counts(read_matrices(spark, str(out))).first().asDict()
+    assert counts["test"] == counts["infer"] == 0 and counts["val"] == whole["val"]
+    assert read_split(spark, str(out), "infer").count() == 0
+
+
+def test_writes_own_their_splits(spark, tmp_path):
+    lake_root, out = str(tmp_path / "lake"), tmp_path / "out"
+    write_raw_partitions(lake(spark, random_events(13)), lake_root)
+    run_features(spark, lake_root, str(out))
+    rows = spark.createDataFrame(read_matrices(spark, str(out)).collect(), MATRIX_SCHEMA)
+    other = str(tmp_path / "other")
+    first = write_split_matrices(rows.where("split <> 'infer'"), other)
+    assert set(first) == {"train", "val", "test"}
+    kept = set(read_split(spark, other, "val").inputFiles())
+    write_split_matrices(rows.where("split = 'infer'"), other)
+    assert collected(read_matrices(spark, other)) == collected(rows)
+    assert set(read_split(spark, other, "val").inputFiles()) == kept
+    # an owned split without rows goes, the files of old versions too
+    for _ in range(2):
+        write_split_matrices(rows.where("split = 'val'"), other, owned=("val", "test"))
+    assert split_names(spark, other) == {"train", "val", "infer"}
+    assert len(list((tmp_path / "other" / "data").iterdir())) == 4
+    with pytest.raises(ValueError, match="not owned: infer"):
+        write_split_matrices(rows, other, owned=("train", "val", "test"))
+    with pytest.raises(ValueError, match="in none of the splits"):
+        write_split_matrices(rows.withColumn("split", F.lit("dev")), other)
+    assert split_names(spark, other) == {"train", "val", "infer"}
+    assert len(list((tmp_path / "other" / "data").iterdir())) == 4
 
 
 def test_bad_parameters_are_refused():

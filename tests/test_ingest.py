@@ -14,7 +14,9 @@ from tidemark.operators.skew import HOT_KEYS, hot_keys, skew_join
 from tidemark.plans import run_bootstrap
 from tidemark.plans.bootstrap import ingest as ingest_plan
 from tidemark.registry import inputs
-from tidemark.sources.log import LOG_SCHEMA, read_csv_log, read_raw_events, write_raw_partitions
+from tidemark.sources.log import (
+    LOG_SCHEMA, file_accounts, read_csv_files, read_csv_log, read_raw_events, write_raw_partitions,
+)
 
 CFG = IngestConfig()
 
@@ -36,7 +38,8 @@ def test_bounds_are_inclusive_and_come_before_the_count(spark):
         + events_of(5, 9)
         + events_of(6, 12, start=-2134949234)
     )
-    events, qualified = ingest_plan(log(spark, rows), CFG)
+    found = ingest_plan(log(spark, rows), CFG)
+    events, qualified = found.events, found.qualified
     assert {(r["user_id"], r["n"]) for r in qualified.collect()} == {(1, 10), (4, 10)}
     kept = events.collect()
     assert len(kept) == 20
@@ -85,6 +88,44 @@ def test_malformed_csv_fails(spark, tmp_path):
         read_csv_log(spark, str(csv)).collect()
 
 
+def test_the_csv_is_read_once(spark, tmp_path):
+    """Everything after the window comes from the table that was written from it."""
+    csv = tmp_path / "log.csv"
+    csv.write_text("\n".join(",".join(map(str, r)) for r in events_of(1, 12) + events_of(2, 3)))
+    source = read_csv_log(spark, str(csv))
+    assert len(source.inputFiles()) == 1
+    found = ingest_plan(source, CFG)
+    csv.unlink()
+    assert found.users == found.qualified.count() == 1 and found.rows == 12
+    assert found.events.count() == 12
+
+
+def test_several_files_as_one_log(spark, tmp_path):
+    """Files may overlap in time; the same rows under two names are refused, as is a path given twice."""
+
+    def write(name, rows):
+        path = tmp_path / name
+        path.write_text("\n".join(",".join(map(str, r)) for r in rows))
+        return str(path)
+
+    one = write("one.csv", events_of(1, 6))
+    two = write("two.csv", events_of(1, 6, step=11)[1:] + events_of(2, 3))
+    copy = write("copy.csv", list(reversed(events_of(1, 6))))
+    rows = read_csv_files(spark, [one, two])
+    accounts = {r["file"].rsplit("/", 1)[1]: r for r in file_accounts(rows).collect()}
+    assert {n: a["rows"] for n, a in accounts.items()} == {"one.csv": 6, "two.csv": 8}
+    assert accounts["one.csv"]["first"] <= accounts["two.csv"]["last"]
+    assert accounts["two.csv"]["first"] <= accounts["one.csv"]["last"]  # an overlapping pair
+    lake_root = str(tmp_path / "lake")
+    assert run_bootstrap(rows, lake_root, CFG)["qualified_users"] == 1
+    assert read_raw_events(spark, lake_root).count() == 11
+    with pytest.raises(ValueError, match="given twice"):
+        read_csv_files(spark, [one, one + "/"])
+    with pytest.raises(ValueError, match="copy.csv.*one.csv"):
+        run_bootstrap(read_csv_files(spark, [one, two, copy]), lake_root, CFG)
+    assert read_raw_events(spark, lake_root).count() == 11
+
+
 def test_months_as_partitions(spark):
     cfg = IngestConfig(ts_min=0, ts_max=4_000_000_000, timezone="UTC", min_interactions=1, grain="month")
     rows = [(1, 1, 1, "pv", 1512000000), (1, 1, 1, "pv", 1512316799), (1, 1, 1, "pv", 1509494400)]
@@ -170,7 +211,7 @@ def test_large_dates_are_written_in_several_files(spark, tmp_path):
 
 def test_all_dates_enter_the_lake(spark):
     folder = "/root/testdata/sf0.01"
-    lake = inputs.all_dates_lake(spark, folder)
+    lake = inputs.lake(spark, folder)
     per_user = inputs.daily_log(spark, folder).groupBy("user_id").count().where("count >= 10")
     assert lake.count() == per_user.groupBy().sum("count").first()[0]
     assert lake.select("event_date").distinct().count() == 31

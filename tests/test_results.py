@@ -3,6 +3,7 @@
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import recommendations
 from tidemark.operators import audits, metrics, ranking
-from tidemark.sources.results import RESULT_SCHEMA, ResultTable, lookup_recommendations
+from tidemark.sources.manifest import ConcurrentWriteError
+from tidemark.sources.results import RESULT_SCHEMA, ResultTable, lookup_recommendations, repeated_keys
 from tidemark.sources.runs import RUN_SCHEMA, RunRegistry, latest_finished_run
 
 SCORED = "user_id long, item_id long, score double"
@@ -88,23 +90,113 @@ def test_upsert(spark, tmp_path):
     }
 
 
-def test_incomplete_version_is_not_read(spark, tmp_path):
+def test_a_write_that_did_not_commit_is_not_read(spark, tmp_path):
     table = ResultTable(spark, str(tmp_path / "results"))
     table.upsert(lists(spark, {1: [(10, 0.5)]}))
-    left_over = tmp_path / "results" / "version=2"
-    left_over.mkdir()
+    left_over = tmp_path / "results" / "data" / "cut-off" / "bucket=1"
+    left_over.mkdir(parents=True)
     (left_over / "part-0.parquet").write_text("cut off")
+    (tmp_path / "results" / "_manifests" / "draft-1").write_text("{")
     assert content(table.read()) == {1: [(10, 0.5)]}
     table.upsert(lists(spark, {2: [(20, 0.5)]}))
     assert set(content(table.read())) == {1, 2}
 
 
+def data_files(table):
+    return {f for files in table.bucket_files().values() for f in files}
+
+
 def test_old_versions_are_dropped(spark, tmp_path):
-    table = ResultTable(spark, str(tmp_path / "results"), keep=2)
-    for user in range(1, 5):
+    root = tmp_path / "results"
+    table = ResultTable(spark, str(root), keep=1, buckets=2)
+    for user in range(1, 9):
         table.upsert(lists(spark, {user: [(user, 0.5)]}))
-    assert table._complete() == [3, 4]
-    assert set(content(table.read())) == {1, 2, 3, 4}
+    assert table.versions() == [8]
+    assert set(content(table.read())) == set(range(1, 9))
+    stored = {str(p.relative_to(root)) for p in root.glob("data/**/*.parquet")}
+    assert stored == data_files(table) and len(stored) == 2
+    assert len(list((root / "data").iterdir())) <= 2
+
+
+def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "results"), buckets=8)
+    table.upsert(lists(spark, {u: [(u, 0.5)] for u in range(100)}))
+    before = table.bucket_files()
+    assert set(before) == set(range(8)) and all(len(f) == 1 for f in before.values())
+    table.upsert(lists(spark, {7: [(70, 0.9)]}))
+    after = table.bucket_files()
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(changed) == 1 and set(after) == set(before)
+    assert content(table.read()) == {u: [(70, 0.9)] if u == 7 else [(u, 0.5)] for u in range(100)}
+    for files in after.values():
+        users = [r[0] for r in spark.read.parquet(f"{table.root}/{files[0]}").select("user_id").collect()]
+        assert users == sorted(users)
+
+
+def test_a_lookup_opens_one_file(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "results"), buckets=8)
+    table.upsert(lists(spark, {u: [(u, 0.5)] for u in range(100)}))
+    for user in (0, 42, 99):
+        found = table.find(user)
+        assert len(found.inputFiles()) == 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "EqualTo(user_id," in plan
+        assert content(found) == {user: [(user, 0.5)]}
+    assert table.lookup(100) is None
+    empty = ResultTable(spark, str(tmp_path / "none"))
+    empty.create()
+    assert empty.lookup(1) is None
+
+
+def test_a_repeated_user_is_refused(spark, tmp_path):
+    table = ResultTable(spark, str(tmp_path / "results"))
+    table.upsert(lists(spark, {1: [(10, 0.5)]}))
+    twice = lists(spark, {1: [(11, 0.5)], 2: [(20, 0.5)]}).unionByName(lists(spark, {2: [(21, 0.5)]}))
+    assert [tuple(r) for r in repeated_keys(twice).collect()] == [(2, 2)]
+    with pytest.raises(Exception, match="user_id is not unique: 2"):
+        table.upsert(twice)
+    assert content(table.read()) == {1: [(10, 0.5)]}
+    assert len(list((tmp_path / "results" / "data").iterdir())) == 1
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "results")
+    first, second = ResultTable(spark, root), ResultTable(spark, root)
+    first.upsert(lists(spark, {1: [(10, 0.5)]}))
+    merged = first._merged
+
+    def slow(*args):
+        out = merged(*args)
+        second.upsert(lists(spark, {2: [(20, 0.5)]}))
+        return out
+
+    monkeypatch.setattr(first, "_merged", slow)
+    with pytest.raises(ConcurrentWriteError):
+        first.upsert(lists(spark, {2: [(99, 0.1)], 3: [(30, 0.5)]}))
+    assert content(second.read()) == {1: [(10, 0.5)], 2: [(20, 0.5)]}
+    monkeypatch.undo()
+    first.upsert(lists(spark, {3: [(30, 0.5)]}))
+    assert set(content(second.read())) == {1, 2, 3}
+
+
+def test_writers_side_by_side_lose_nothing(spark, tmp_path):
+    """Threads that try until they are let in; every committed batch is in the table."""
+    root = str(tmp_path / "results")
+    ResultTable(spark, root).create()
+
+    def write(user):
+        refused = 0
+        while True:
+            try:
+                ResultTable(spark, root, keep=20, buckets=4).upsert(lists(spark, {user: [(user, 0.5)]}))
+                return refused
+            except ConcurrentWriteError:
+                refused += 1
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(6)))
+    table = ResultTable(spark, root)
+    assert set(content(table.read())) == set(range(6)) and table.versions()[-1] == 6
 
 
 def test_null_list_is_refused(spark, tmp_path):

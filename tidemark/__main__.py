@@ -1,6 +1,6 @@
 """The four jobs from the command line, for spark-submit or ``python -m tidemark``.
 
-    bootstrap --csv PATH --lake ROOT
+    bootstrap --csv PATH... --lake ROOT
     features  --lake ROOT --matrices ROOT
     train     --matrices ROOT --registry ROOT
     infer     --matrices ROOT --registry ROOT --results ROOT
@@ -13,12 +13,11 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.config import TOP_K, FeatureConfig, IngestConfig, TrainConfig
 from tidemark.functions.recommendations import to_json
 from tidemark.plans import run_bootstrap, run_features, run_inference, run_training
-from tidemark.sources.log import read_csv_log
+from tidemark.sources.log import read_csv_files
 from tidemark.sources.results import ResultTable
 
 
@@ -33,7 +32,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         return sub
 
     ingest, features, train = IngestConfig(), FeatureConfig(), TrainConfig()
-    sub = job("bootstrap", "csv", "lake")
+    sub = job("bootstrap", "lake")
+    sub.add_argument("--csv", required=True, nargs="+")
     sub.add_argument("--min-interactions", type=int, default=ingest.min_interactions)
     sub.add_argument("--ts-min", type=int, default=ingest.ts_min)
     sub.add_argument("--ts-max", type=int, default=ingest.ts_max)
@@ -61,7 +61,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict:
             timezone=args.timezone,
             min_interactions=args.min_interactions,
         )
-        return run_bootstrap(read_csv_log(spark, args.csv), args.lake, cfg)
+        return run_bootstrap(read_csv_files(spark, args.csv), args.lake, cfg)
     if args.job == "features":
         cfg = FeatureConfig(
             epsilon=args.epsilon, neg_ratio=args.neg_ratio, top_popular=args.top_popular
@@ -72,8 +72,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict:
         return run_training(spark, args.matrices, args.registry, cfg)
     if args.job == "infer":
         return run_inference(spark, args.matrices, args.registry, args.results, args.top_k)
-    table = ResultTable(spark, args.results).read()
-    found = table.where(F.col("user_id") == args.user).select(to_json()).first()
+    found = ResultTable(spark, args.results).find(args.user).select(to_json()).first()
     if found is None:
         raise SystemExit(f"user {args.user} not found")
     return {"user_id": args.user, "recommended_items": json.loads(found[0])}

@@ -77,7 +77,7 @@ class FeatureConfig:
     splits: Splits = field(default_factory=Splits)
 
     def __post_init__(self):
-        # The popular list is broadcast and carried as an array: this parameter is its length.
+        # The length of the popular list, which one task puts in order.
         if self.top_popular < 1:
             raise ValueError("top_popular must be positive")
         if self.neg_ratio < 0:

@@ -11,16 +11,20 @@ from tidemark.config import IngestConfig, Splits
 
 
 def split_days(matrix: DataFrame, splits: Splits) -> DataFrame:
-    """Days found per split; ``as_expected`` says whether they are the configured ones."""
-    found = F.array_sort(F.collect_set("day"))
-    expected = F.lit(None).cast("array<bigint>")
-    for name, days in splits.as_dict().items():
-        wanted = F.array(*(F.lit(d).cast("long") for d in sorted(days)))
-        expected = F.when(F.col("split") == name, wanted).otherwise(expected)
-    return (
-        matrix.groupBy("split")
-        .agg(found.alias("days"))
-        .select("split", "days", (F.col("days") == expected).alias("as_expected"))
+    """Days found per split; ``as_expected`` says whether they are the configured ones.
+
+    Every configured split has a row, also one that is missing from ``matrix``, and so has every split
+    that is in ``matrix`` and should not be.
+    """
+    wanted = matrix.sparkSession.createDataFrame(
+        [(name, sorted(days)) for name, days in splits.as_dict().items()],
+        "split string, wanted array<bigint>",
+    )
+    found = matrix.groupBy("split").agg(F.array_sort(F.collect_set("day")).alias("found"))
+    days = F.coalesce("found", F.array().cast("array<bigint>"))
+    as_expected = F.coalesce(days == F.col("wanted"), F.lit(False))
+    return found.join(F.broadcast(wanted), "split", "full").select(
+        "split", days.alias("days"), as_expected.alias("as_expected")
     )
 
 
@@ -43,17 +47,25 @@ def split_overlaps(matrix: DataFrame) -> DataFrame:
 
 
 def labels(matrix: DataFrame) -> DataFrame:
-    """Labels per split: both kinds where a model learns, none where it scores."""
+    """Labels per split: both kinds in the rows a model learns from, none in those it scores.
+
+    Validation and test need negatives; a day without any positive may happen. A split without rows is
+    listed and not sound.
+    """
     counted = matrix.groupBy("split").agg(
         F.count_if(F.col("label") == 1).alias("positives"),
         F.count_if(F.col("label") == 0).alias("negatives"),
         F.count_if(F.col("label").isNull()).alias("unlabelled"),
     )
-    labelled = (F.col("positives") + F.col("negatives") > 0) & (F.col("unlabelled") == 0)
-    sound = F.when(
-        F.col("split") == "infer", F.col("positives") + F.col("negatives") == 0
-    ).otherwise(labelled & (F.col("negatives") > 0))
-    return counted.withColumn("sound", sound)
+    every = matrix.sparkSession.createDataFrame([(s,) for s in Splits().as_dict()], "split string")
+    listed = counted.join(F.broadcast(every), "split", "full").na.fill(0)
+    positives, negatives, unlabelled = (F.col(c) for c in ("positives", "negatives", "unlabelled"))
+    sound = (
+        F.when(F.col("split") == "infer", (positives + negatives == 0) & (unlabelled > 0))
+        .when(F.col("split") == "train", (positives > 0) & (negatives > 0) & (unlabelled == 0))
+        .otherwise((negatives > 0) & (unlabelled == 0))
+    )
+    return listed.withColumn("sound", sound)
 
 
 def lake(raw: DataFrame, qualified: DataFrame, cfg: IngestConfig) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import FeatureConfig, Splits
 from tidemark.functions.columns import in_days, is_engagement, split_label
+from tidemark.operators.skew import hot_keys, skew_join
+from tidemark.session import stage
 
-# Bits used per long when popular items seen by a user are marked.
-_WORD = 63
+# Rows (of a few numbers) up to which a side whose rows are counted is broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def positive_candidates(events: DataFrame, splits: Splits) -> DataFrame:
@@ -39,76 +43,65 @@ def popular_items(counts: DataFrame, top: int) -> DataFrame:
     )
 
 
-def _words(cfg: FeatureConfig) -> int:
-    return -(-cfg.top_popular // _WORD)
+def join_few(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, most: int
+) -> DataFrame:
+    """``left`` joined to ``right``, which has ``most`` rows at most and few, hot keys.
 
+    Up to ``BROADCAST_ROWS`` the right side is broadcast. Beyond it the left side is written down and
+    counted, and its hot keys are split.
+    """
+    keys = list(keys)
+    if most <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), keys, how)
+    rows = stage(left, "hot-join")
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    return skew_join(rows, right, keys, how, hot_keys(counted, keys, "n", rows.count()))
 
-def _menu(popular: DataFrame) -> DataFrame:
-    """The popular list with a bit (of a numbered word) for each distinct item."""
-    slot = F.dense_rank().over(Window.orderBy("item_id")) - 1
-    return popular.select("item_id", "category_id", slot.alias("slot")).select(
-        "item_id",
-        "category_id",
-        F.floor(F.col("slot") / _WORD).cast("int").alias("word"),
-        F.expr(f"shiftleft(1L, slot % {_WORD})").alias("bit"),
-    )
 
+def _places(popular: DataFrame) -> DataFrame:
+    """The popular list with the place of each entry from 0: by item then category, nulls last.
 
-def _menu_array(menu: DataFrame) -> Column:
-    """The whole list as one array value, in item order with nulls last, through a scalar subquery."""
-    entry = F.struct(
-        F.isnull("item_id").alias("no_item"),
-        "item_id",
-        F.isnull("category_id").alias("no_category"),
-        "category_id",
-        "word",
-        "bit",
-    )
-    return menu.agg(F.array_sort(F.collect_list(entry)).alias("menu")).scalar()
+    The list has a configured length, so one task may number it.
+    """
+    order = Window.orderBy(F.asc_nulls_last("item_id"), F.asc_nulls_last("category_id"))
+    place = (F.row_number().over(order) - 1).alias("place")
+    return popular.select("item_id", "category_id", place)
 
 
-def _one_row_each(rows: DataFrame, entries: Column) -> DataFrame:
-    return rows.select("user_id", "day", "event_date", F.explode(entries).alias("m")).select(
-        "user_id",
-        F.col("m.item_id").alias("item_id"),
-        F.col("m.category_id").alias("category_id"),
-        "day",
-        "event_date",
+def _one_row_each(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """A row for each place in ``places_wanted``, with its item and category."""
+    entries = rows.select("user_id", "day", "event_date", F.explode("places_wanted").alias("place"))
+    return join_few(entries, places, ["place"], "inner", size).select(
+        "user_id", "item_id", "category_id", "day", "event_date"
     )
 
 
 def offer_popular(user_days: DataFrame, popular: DataFrame) -> DataFrame:
     """Every popular item for every (user, day).
 
-    The list travels as a constant array and is exploded in place, so no join is involved.
+    The places are numbers made in place, and the list is joined to them: no cross join is involved.
     """
-    return _one_row_each(user_days, _menu_array(_menu(popular)))
+    size = popular.count()
+    every = F.sequence(F.lit(0), F.lit(max(size, 1) - 1))
+    return _one_row_each(user_days.withColumn("places_wanted", every), _places(popular), size)
 
 
-def _seen_marks(counts: DataFrame, menu: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Per labelled (user, day): has it a positive, and which popular items did it touch.
+def _touched_places(counts: DataFrame, places: DataFrame, size: int, cfg: FeatureConfig) -> DataFrame:
+    """Per labelled (user, day) with a positive: the places of the popular items it touched.
 
-    One bit per popular item, so the state of a group is a few longs however many events
-    it has, and all of it is combined before the shuffle.
+    The state of a group is as long as what it touched, not as the list. Each place is in it once
+    however many events there are, and all of it is combined before the shuffle.
     """
-    bits = menu.select("item_id", "word", "bit").distinct()
-    words = range(_words(cfg))
-    marks = [
-        F.bit_or(F.when(F.col("word") == w, F.col("bit"))).alias(f"seen_{w}") for w in words
-    ]
+    labelled = counts.where(in_days(cfg.splits.labelled)).select(
+        "user_id", "item_id", "day", "event_date", "engaged"
+    )
     return (
-        counts.where(in_days(cfg.splits.labelled))
-        .join(F.broadcast(bits), "item_id", "left")
-        .where((F.col("engaged") > 0) | F.col("bit").isNotNull())
+        join_few(labelled, places.select("item_id", "place"), ["item_id"], "left", size)
+        .where((F.col("engaged") > 0) | F.col("place").isNotNull())
         .groupBy("user_id", "day", "event_date")
-        .agg(F.max("engaged").alias("engaged"), *marks)
+        .agg(F.max("engaged").alias("engaged"), F.collect_set("place").alias("touched"))
         .where(F.col("engaged") > 0)
-        .select(
-            "user_id",
-            "day",
-            "event_date",
-            F.array(*(F.coalesce(f"seen_{w}", F.lit(0)) for w in words)).alias("seen"),
-        )
     )
 
 
@@ -117,19 +110,20 @@ def unseen_popular(
 ) -> DataFrame:
     """Popular items a user with a positive did not touch that day, lowest item ids first.
 
-    ``counts`` has ``engaged`` per user, item and day (any finer grain works too). With
-    ``first`` only that many are kept per (user, day): they are cut off the array before
-    it is exploded, so the full list of unseen pairs never exists as rows.
+    ``counts`` has ``engaged`` per user, item and day (any finer grain works too). With ``first``
+    only that many are kept per (user, day): among as many places as are wanted and touched together
+    there are enough untouched ones, so no more of the list is ever looked at.
     """
-    menu = _menu(popular)
-    rows = _seen_marks(counts, menu, cfg).withColumn("menu", _menu_array(menu))
-    no_marks = F.array(*(F.lit(0).cast("long") for _ in range(_words(cfg))))
-    unseen = F.when(F.col("seen") == no_marks, F.col("menu")).otherwise(
-        F.filter("menu", lambda m: F.col("seen")[m["word"]].bitwiseAND(m["bit"]) == 0)
-    )
+    size = popular.count()
+    places = _places(popular)
+    rows = _touched_places(counts, places, size, cfg)
+    last = F.lit(size - 1)
+    if first is not None:
+        last = F.least(last, F.lit(first) + F.size("touched") - 1)
+    unseen = F.array_except(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), "touched")
     if first is not None:
         unseen = F.slice(unseen, 1, first)
-    return _one_row_each(rows, unseen)
+    return _one_row_each(rows.withColumn("places_wanted", unseen), places, size)
 
 
 def sample_negatives(counts: DataFrame, popular: DataFrame, cfg: FeatureConfig) -> DataFrame:

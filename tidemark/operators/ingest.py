@@ -27,15 +27,21 @@ def qualified_users(log: DataFrame, cfg: IngestConfig) -> DataFrame:
 
 
 def keep_qualified(
-    log: DataFrame, qualified: DataFrame, cfg: IngestConfig, hot_floor: int | None = None
+    log: DataFrame,
+    qualified: DataFrame,
+    cfg: IngestConfig,
+    hot_floor: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rows of qualified users inside the window.
 
     ``qualified`` carries the row count per user, which names the heavy users whose rows
     must not all go to one task. Give it as a staged table so that the log is not counted
-    again for it; Catalyst then broadcasts it when its size on disk allows.
+    again for it; Catalyst then broadcasts it when its size on disk allows. ``rows`` is the sum
+    of its counts, if known.
     """
-    rows = qualified.agg(F.sum("n")).first()[0] or 0
+    if rows is None:
+        rows = qualified.agg(F.sum("n")).first()[0] or 0
     return skew_join(
         in_window(log, cfg),
         qualified.select("user_id"),

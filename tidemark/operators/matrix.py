@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import MATRIX_COLS, MATRIX_KEYS, FeatureConfig, Splits
 from tidemark.functions.columns import feature_columns, in_days, is_engagement, split_label
-from tidemark.operators.candidates import popular_items, sample_negatives
+from tidemark.operators.candidates import join_few, popular_items, sample_negatives
 from tidemark.operators.days import day_index, with_day
 from tidemark.operators.history import (
     category_history,
@@ -111,17 +111,18 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
 def negative_rows(counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
     """Sampled negatives with features.
 
-    All of them are popular items, so a handful of items holds every row: a shuffle by
-    item would send them to a few tasks. Their features are at most ``top_popular`` rows
-    per labelled day, and are broadcast. A negative was by definition not touched that
-    day, so it has no user-item history row.
+    All of them are popular items, so a handful of items holds every row: a shuffle by item would send
+    them to a few tasks. Their features are at most one row for each entry of the popular list and
+    labelled day; ``join_few`` checks that bound. A negative was by definition not touched that day, so
+    it has no user-item history row.
     """
     popular = stage(popular_items(counts.items, cfg.top_popular), "popular")
+    size = popular.count()
+    features = size * len(cfg.splits.labelled)
     labelled = in_days(cfg.splits.labelled)
 
     def of_popular(key: str) -> DataFrame:
-        chosen = popular.select(key).distinct()
-        return counts.items.join(F.broadcast(chosen), key, "left_semi")
+        return join_few(counts.items, popular.select(key).distinct(), [key], "left_semi", size)
 
     items = (
         of_popular("item_id")
@@ -130,11 +131,10 @@ def negative_rows(counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
         .distinct()
     )
     categories = category_history(roll_up(of_popular("category_id"), "category_id")).where(labelled)
-    return (
-        sample_negatives(counts.pairs, popular, cfg)
-        .join(F.broadcast(items), ["item_id", "day"], "left")
-        .join(F.broadcast(categories), ["category_id", "day"], "left")
-        .withColumn("user_item_freq", F.lit(0).cast("long"))
+    negatives = sample_negatives(counts.pairs, popular, cfg)
+    known = join_few(negatives, items, ["item_id", "day"], "left", features)
+    return join_few(known, categories, ["category_id", "day"], "left", features).withColumn(
+        "user_item_freq", F.lit(0).cast("long")
     )
 
 
@@ -155,7 +155,7 @@ def build_matrix(
     per_user_category = roll_up(
         counts.pairs.where(F.col("day") <= max(used)), "user_id", "category_id"
     )
-    if may_have_hot_keys(counts.pair_rows):
+    if may_have_hot_keys(counts.pairs.sparkSession, counts.pair_rows):
         per_user_category = stage(per_user_category, "user-category")
     keys = ["user_id", "category_id", "day"]
     history = user_category_history(per_user_category).where(in_days(used)).dropna(subset=keys)

@@ -6,26 +6,30 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is hot above rows / HOT_KEYS, so there can never be more hot keys than this.
+# A key is hot above rows / HOT_KEYS, or above the rows of an even shuffle partition where there are
+# more of those. So there can never be more hot keys than the larger of the two.
 HOT_KEYS = 1024
 
-# Below this many rows a key is not worth splitting.
+# Below this many rows a key is not worth splitting, unless the session sets another number.
 HOT_FLOOR = 1_000_000
+HOT_FLOOR_SETTING = "spark.tidemark.hotRows"
 
 _PARTS = "_parts"
 _SALT = "_salt"
 
 
-def _limit(rows: int, floor: int | None) -> int:
-    return max(-(-rows // HOT_KEYS), HOT_FLOOR if floor is None else floor)
+def _limit(spark: SparkSession, rows: int, floor: int | None) -> int:
+    parts = max(HOT_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    least = int(spark.conf.get(HOT_FLOOR_SETTING, str(HOT_FLOOR))) if floor is None else floor
+    return max(-(-rows // parts), least)
 
 
-def may_have_hot_keys(rows: int) -> bool:
+def may_have_hot_keys(spark: SparkSession, rows: int) -> bool:
     """Whether a key of a table with so many rows can be hot at all."""
-    return rows > _limit(rows, None)
+    return rows > _limit(spark, rows, None)
 
 
 def hot_keys(
@@ -33,11 +37,12 @@ def hot_keys(
 ) -> DataFrame | None:
     """The keys of ``counted`` (one row per key) whose ``weight`` makes them hot.
 
-    ``rows`` is the sum of all weights. Each hot key has more than ``rows / HOT_KEYS`` of
-    it, so at most ``HOT_KEYS`` come out and they are safe to broadcast at any data size.
-    None when so few rows exist that no key can be hot.
+    ``rows`` is the sum of all weights. Each hot key has more than an even partition's share of
+    it (at least 1 / ``HOT_KEYS`` where partitions are few), so there are at most as many as shuffle
+    partitions and they are safe to broadcast at any data size. None when so few rows exist that no
+    key can be hot.
     """
-    limit = _limit(rows, floor)
+    limit = _limit(counted.sparkSession, rows, floor)
     if rows <= limit:
         return None
     parts = F.ceil(F.col(weight) / limit).cast("int")
@@ -68,7 +73,7 @@ def skew_join(
     Hot rows of ``left`` get a part number from a hash of the row and its input partition,
     so copies of one row spread too, and a retried task gives the same numbers again. The
     matching rows of ``right`` are repeated once per part; the parts of all hot keys add up
-    to at most ``2 * HOT_KEYS``. With ``nulls_match`` a null key equals a null key, and a hot
+    to at most twice the number of hot keys there can be. With ``nulls_match`` a null key equals a null key, and a hot
     one is spread like any other.
     """
     if how not in ("left", "left_semi", "inner"):

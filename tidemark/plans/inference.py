@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from tidemark.config import TOP_K
 from tidemark.operators.model import score
 from tidemark.operators.ranking import recommendation_lists, top_k
-from tidemark.session import sized_for, stage, staged_tables
+from tidemark.session import sized_for
 from tidemark.sources.matrices import read_split
 from tidemark.sources.results import ResultTable
 from tidemark.sources.runs import RunRegistry
@@ -16,10 +16,8 @@ from tidemark.sources.runs import RunRegistry
 
 def recommend(scored: DataFrame, table: ResultTable, k: int = TOP_K, stamped: Column | None = None) -> int:
     """Rank, nest and upsert scored rows; returns the number of users written."""
-    with staged_tables(scored.sparkSession), sized_for(scored):
-        lists = stage(recommendation_lists(top_k(scored, k)), "lists")
-        table.upsert(lists, stamped)
-        return lists.count()
+    with sized_for(scored):
+        return table.upsert(recommendation_lists(top_k(scored, k)), stamped)
 
 
 def run_inference(

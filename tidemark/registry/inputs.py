@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +17,17 @@ from tidemark.sources.log import read_raw_events
 from tidemark.sources.matrices import read_matrices, read_split
 from tidemark.sources.storage import exists
 
-# Nine local days from 2024-01-01 at UTC+8.
-DAILY = IngestConfig(ts_min=1704038400, ts_max=1704815999)
+# Nine local days from 2024-01-01 at UTC+8, for the queries whose feature is the time window.
+NINE_DAYS = IngestConfig(ts_min=1704038400, ts_max=1704815999)
 # At ten interactions every user of the small tables qualifies; twenty removes some.
 DAILY_STRICT = IngestConfig(ts_min=1704038400, ts_max=1704815999, min_interactions=20)
-DAILY_FEATURES = FeatureConfig()
 
 # Every date of the log, 1970 to 2099; the splits are the last of its 31 local days.
-ALL_DATES = IngestConfig(ts_min=0, ts_max=4102444799)
-ALL_DATES_FEATURES = FeatureConfig(
+DAILY = IngestConfig(ts_min=0, ts_max=4102444799)
+DAILY_FEATURES = FeatureConfig(
     splits=Splits(train=tuple(range(4, 29)), val=(29,), test=(30,), infer=(31,))
 )
+ALL_DATES, ALL_DATES_FEATURES = DAILY, DAILY_FEATURES
 
 # Order dates are sparse per day, so the volume variant counts months: 80 from 1995-01 on.
 MONTHLY = IngestConfig(ts_min=788918400, ts_max=1009843199, timezone="UTC", grain="month")
@@ -35,6 +37,8 @@ MONTHLY_FEATURES = FeatureConfig(
     )
 )
 
+MONTHLY_LONG_LIST = replace(MONTHLY_FEATURES, top_popular=50_000)
+
 # Scores are rounded so that two engines order them alike.
 SCORE_DIGITS = 6
 
@@ -125,15 +129,6 @@ def with_unknowns(raw: DataFrame) -> DataFrame:
     )
 
 
-def all_dates_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lake of the daily log without a time window."""
-
-    def build(root: str) -> None:
-        run_bootstrap(daily_log(spark, sf_dir), root, ALL_DATES)
-
-    return read_raw_events(spark, _once(spark, ("lake", sf_dir, "all"), "lake", build))
-
-
 def all_dates_matrices(spark: SparkSession, sf_dir: str) -> str:
     """Ingest the daily log without a time window and run the feature job, into new roots."""
     lake_root, root = scratch_path(spark, "lake"), scratch_path(spark, "matrices")

@@ -18,6 +18,8 @@ from tidemark.registry.inputs import (
     DAILY_STRICT,
     MONTHLY,
     MONTHLY_FEATURES,
+    MONTHLY_LONG_LIST,
+    NINE_DAYS,
     SCORE_DIGITS,
 )
 from tidemark.registry.queries import METRIC_DIGITS
@@ -226,11 +228,12 @@ _unknowns = _relations(
 )
 _all_dates = _relations(_DAILY_LOG, _DAILY_DATE, ALL_DATES, ALL_DATES_FEATURES)
 _monthly = _relations(_MONTHLY_LOG, _MONTHLY_DATE, MONTHLY, MONTHLY_FEATURES)
+_long_list = _relations(_MONTHLY_LOG, _MONTHLY_DATE, MONTHLY, MONTHLY_LONG_LIST)
 
 _LOG_COLS = "user_id, item_id, category_id, behavior_type, timestamp"
 _DATE = "CAST(event_date AS VARCHAR) AS event_date"
 _LAKE = f"{_LOG_COLS}, {_DATE}"
-_WINDOW = f"timestamp BETWEEN {DAILY.ts_min} AND {DAILY.ts_max}"
+_WINDOW = f"timestamp BETWEEN {NINE_DAYS.ts_min} AND {NINE_DAYS.ts_max}"
 _FEATURES = ", ".join(FEATURE_COLS)
 _MATRIX = f"user_id, item_id, category_id, day, {_DATE}, label, split, {_FEATURES}"
 _S = DAILY_FEATURES.splits
@@ -257,6 +260,32 @@ def _overlaps() -> str:
     )
 
 
+# The matrix without its scoring rows and without the positives that a model would learn from.
+_FAULTY = "(SELECT * FROM matrix WHERE split <> 'infer' AND NOT (split = 'train' AND label = 1))"
+
+
+def _split_days(rows: str) -> str:
+    wanted = ", ".join(f"('{s}', '{','.join(map(str, days))}')" for s, days in _S.as_dict().items())
+    return f"""
+SELECT w.split, coalesce(f.days, '') AS days, coalesce(f.days = w.days, FALSE) AS as_expected
+FROM (VALUES {wanted}) AS w(split, days)
+LEFT JOIN (SELECT split, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS days
+           FROM (SELECT DISTINCT split, day FROM {rows} AS r) GROUP BY split) f ON f.split = w.split"""
+
+
+def _labels(rows: str) -> str:
+    return f"""
+SELECT split, positives, negatives, unlabelled,
+       CASE split WHEN 'infer' THEN positives = 0 AND negatives = 0 AND unlabelled > 0
+                  WHEN 'train' THEN positives > 0 AND negatives > 0 AND unlabelled = 0
+                  ELSE negatives > 0 AND unlabelled = 0 END AS sound
+FROM (SELECT w.split, count(CASE WHEN label = 1 THEN 1 END) AS positives,
+             count(CASE WHEN label = 0 THEN 1 END) AS negatives,
+             count(CASE WHEN r.split IS NOT NULL AND label IS NULL THEN 1 END) AS unlabelled
+      FROM (VALUES ('train'), ('val'), ('test'), ('infer')) AS w(split)
+      LEFT JOIN {rows} AS r ON r.split = w.split GROUP BY w.split)"""
+
+
 _FINAL_DAILY = {
     "scan_csv_log": f"SELECT {_LOG_COLS} FROM log",
     "scan_raw_events": f"SELECT {_LAKE} FROM raw",
@@ -273,9 +302,16 @@ FROM ranked r
 WHERE split = 'infer'
    OR (split = 'test' AND NOT EXISTS (SELECT 1 FROM ranked n
                                       WHERE n.split = 'infer' AND n.user_id = r.user_id))""",
+    "lookup_one": """
+SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score
+FROM top WHERE user_id = (SELECT max(user_id) FROM top)""",
+    "repeated_result_keys": """
+SELECT user_id, count(*) AS n
+FROM (SELECT DISTINCT user_id, split FROM ranked WHERE split = 'test' OR split = 'infer')
+GROUP BY user_id HAVING count(*) > 1""",
     "result_schema_check": """
-SELECT count(DISTINCT user_id) AS user_ids, count(DISTINCT user_id) AS lists,
-       count(DISTINCT user_id) AS stamps, count(DISTINCT user_id) AS rows FROM top""",
+SELECT count(user_id) AS user_ids, count(items) AS lists, count(stamp) AS stamps, count(*) AS rows
+FROM (SELECT user_id, list(item_id) AS items, max(DATE '2024-01-01') AS stamp FROM top GROUP BY user_id)""",
     "metrics_unpivot": _unpivot_report(),
     "filter_time_range": f"SELECT {_LOG_COLS} FROM log WHERE {_WINDOW}",
     "local_event_date": (
@@ -286,11 +322,11 @@ SELECT count(DISTINCT user_id) AS user_ids, count(DISTINCT user_id) AS lists,
         f"SELECT {_LAKE} FROM raw WHERE behavior_type = 'buy' "
         "OR behavior_type = 'cart' OR behavior_type = 'fav'"
     ),
-    "filter_split_days": f"SELECT {_LAKE}, day FROM ev WHERE day BETWEEN 4 AND 8",
+    "filter_split_days": f"SELECT {_LAKE}, day FROM ev WHERE day BETWEEN 4 AND 30",
     "split_label": f"""
 SELECT {_DATE}, day,
-       CASE WHEN day BETWEEN 4 AND 6 THEN 'train' WHEN day = 7 THEN 'val'
-            WHEN day = 8 THEN 'test' WHEN day = 9 THEN 'infer' END AS split
+       CASE WHEN day BETWEEN 4 AND 28 THEN 'train' WHEN day = 29 THEN 'val'
+            WHEN day = 30 THEN 'test' WHEN day = 31 THEN 'infer' END AS split
 FROM calendar""",
     "intent_score": f"""
 SELECT user_id, category_id, day,
@@ -339,6 +375,13 @@ SELECT (SELECT count(*) FROM matrix WHERE split = 'train' AND label = 1) AS trai
        (SELECT count(*) FROM matrix WHERE split = 'val') AS val,
        (SELECT count(*) FROM matrix WHERE split = 'test') AS test,
        (SELECT count(*) FROM matrix WHERE split = 'infer') AS infer""",
+    "split_counts_written": """
+SELECT count(CASE WHEN split = 'train' AND label = 1 THEN 1 END) AS train_pos,
+       count(CASE WHEN split = 'train' AND label = 0 THEN 1 END) AS train_neg,
+       count(CASE WHEN split = 'val' THEN 1 END) AS val,
+       count(CASE WHEN split = 'test' THEN 1 END) AS test,
+       count(CASE WHEN split = 'infer' THEN 1 END) AS infer
+FROM matrix""",
     "split_date_sets": """
 SELECT split, string_agg(event_date, ',' ORDER BY event_date) AS dates
 FROM (SELECT DISTINCT split, CAST(event_date AS VARCHAR) AS event_date FROM matrix)
@@ -347,6 +390,14 @@ GROUP BY split""",
 SELECT user_id, CAST(count(*) AS INTEGER) AS items,
        string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS ranked_items
 FROM top GROUP BY user_id""",
+    "ordered_results": """
+SELECT row_number() OVER (ORDER BY user_id) AS place, user_id,
+       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS ranked_items
+FROM top GROUP BY user_id""",
+    "union_files": f"SELECT {_LOG_COLS}, behavior_type AS file FROM log",
+    "file_accounts": """
+SELECT behavior_type AS file, count(*) AS rows, min(timestamp) AS first, max(timestamp) AS last
+FROM log GROUP BY behavior_type""",
     "day_index": f"SELECT {_DATE}, day FROM calendar",
     "hist_user_item": "SELECT user_id, item_id, day, user_item_freq FROM ui",
     "hist_user_category": "SELECT user_id, category_id, day, user_cat_freq, user_cat_eng FROM uc",
@@ -393,28 +444,22 @@ SELECT report.*,
 FROM report""",
     "recommend_daily": "SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score FROM top",
     "run_features": f"SELECT {_MATRIX} FROM matrix",
-    "split_days_audit": f"""
-SELECT split, days,
-       days = CASE split WHEN 'train' THEN '{",".join(map(str, _S.train))}'
-                         WHEN 'val' THEN '{",".join(map(str, _S.val))}'
-                         WHEN 'test' THEN '{",".join(map(str, _S.test))}'
-                         ELSE '{",".join(map(str, _S.infer))}' END AS as_expected
-FROM (SELECT split, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS days
-      FROM (SELECT DISTINCT split, day FROM matrix) GROUP BY split)""",
-    "label_audit": """
-SELECT split, positives, negatives, unlabelled,
-       CASE split WHEN 'infer' THEN positives = 0 AND negatives = 0
-                  ELSE negatives > 0 AND unlabelled = 0 END AS sound
-FROM (SELECT split, count(CASE WHEN label = 1 THEN 1 END) AS positives,
-             count(CASE WHEN label = 0 THEN 1 END) AS negatives,
-             count(CASE WHEN label IS NULL THEN 1 END) AS unlabelled
-      FROM matrix GROUP BY split)""",
+    "split_days_audit": _split_days("matrix"),
+    "split_days_audit_of_faults": _split_days(_FAULTY),
+    "label_audit": _labels("matrix"),
+    "label_audit_of_faults": _labels(_FAULTY),
     "results_audit": """
-SELECT count(DISTINCT user_id) AS rows, count(DISTINCT user_id) AS users,
-       CAST(0 AS BIGINT) AS repeated_users, CAST(0 AS BIGINT) AS null_lists,
-       CAST(0 AS BIGINT) AS empty_lists, CAST(0 AS BIGINT) AS long_lists,
-       count(CASE WHEN item_id < 0 THEN 1 END) AS lists_with_bad_items
-FROM top""",
+SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS users,
+       count(CASE WHEN n > 1 THEN 1 END) AS repeated_users,
+       CAST(sum(nulls) AS BIGINT) AS null_lists,
+       count(CASE WHEN shortest < 1 THEN 1 END) AS empty_lists,
+       count(CASE WHEN longest > 10 THEN 1 END) AS long_lists,
+       CAST(sum(bad) AS BIGINT) AS lists_with_bad_items
+FROM (SELECT user_id, count(*) AS n, count(CASE WHEN items IS NULL THEN 1 END) AS nulls,
+             min(len(items)) AS shortest, max(len(items)) AS longest,
+             count(CASE WHEN list_min(items) < 0 THEN 1 END) AS bad
+      FROM (SELECT user_id, list(item_id) AS items FROM top GROUP BY user_id)
+      GROUP BY user_id)""",
 }
 
 _FINAL_STRICT = {
@@ -434,6 +479,12 @@ FROM raw""",
 
 _FINAL_UNKNOWNS = {"feature_matrix_with_nulls": f"SELECT {_MATRIX} FROM matrix"}
 
+_FINAL_LONG_LIST = {
+    "sample_negatives_long_list": (
+        f"SELECT user_id, item_id, category_id, day, {_DATE}, 0 AS label FROM negatives"
+    ),
+}
+
 _FINAL_MONTHLY = {
     "monthly_bootstrap_events": f"SELECT {_LAKE} FROM raw",
     "monthly_popular_items": "SELECT item_id, category_id, pop FROM popular",
@@ -462,6 +513,6 @@ _FINAL_ALL_DATES = {
 
 for _relations_of, _finals in (
     (_daily, _FINAL_DAILY), (_strict, _FINAL_STRICT), (_monthly, _FINAL_MONTHLY),
-    (_unknowns, _FINAL_UNKNOWNS), (_all_dates, _FINAL_ALL_DATES),
+    (_unknowns, _FINAL_UNKNOWNS), (_all_dates, _FINAL_ALL_DATES), (_long_list, _FINAL_LONG_LIST),
 ):
     ORACLES.update({name: _sql(_relations_of, final.strip()) for name, final in _finals.items()})

@@ -24,6 +24,7 @@ from tidemark.registry.inputs import DAILY_FEATURES, DAILY_STRICT
 from tidemark.session import scratch_path, stage
 from tidemark.sources import log as log_source
 from tidemark.sources import matrices as matrix_source
+from tidemark.sources import ordered as ordered_source
 from tidemark.sources import results as result_source
 from tidemark.sources.runs import latest_finished_run
 
@@ -98,8 +99,8 @@ def scan_split(spark, sf_dir):
 @query
 def write_raw_partitions(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    events = ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.DAILY)
-    log_source.write_raw_partitions(ingest.dated(events, inputs.DAILY), root)
+    events = ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.NINE_DAYS)
+    log_source.write_raw_partitions(ingest.dated(events, inputs.NINE_DAYS), root)
     return plain(log_source.read_raw_events(spark, root))
 
 
@@ -124,6 +125,26 @@ def upsert_results(spark, sf_dir):
     return plain(recommendations.explode_items(table.read()))
 
 
+@query
+def lookup_one(spark, sf_dir):
+    """The list of one user, the last one there is, from the one file that can hold it."""
+    table = result_source.ResultTable(spark, scratch_path(spark, "results"))
+    scored = inputs.scored(spark, sf_dir, "infer")
+    recommend(scored, table)
+    last = scored.agg(F.max("user_id")).first()[0]
+    return recommendations.explode_items(table.find(last).drop("updated_at"))
+
+
+@query
+def repeated_result_keys(spark, sf_dir):
+    """Users whose lists of two days would enter the table in one batch."""
+    days = [
+        ranking.recommendation_lists(ranking.top_k(inputs.scored(spark, sf_dir, split)))
+        for split in ("test", "infer")
+    ]
+    return result_source.repeated_keys(days[0].unionByName(days[1]))
+
+
 @query
 def result_schema_check(spark, sf_dir):
     """Columns of the result table after it was declared twice around an upsert."""
@@ -150,13 +171,13 @@ def metrics_unpivot(spark, sf_dir):
 
 @query
 def filter_time_range(spark, sf_dir):
-    return ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.DAILY)
+    return ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.NINE_DAYS)
 
 
 @query
 def local_event_date(spark, sf_dir):
-    events = ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.DAILY)
-    return plain(ingest.dated(events, inputs.DAILY)).select("user_id", "timestamp", "event_date")
+    events = ingest.in_window(inputs.daily_log(spark, sf_dir), inputs.NINE_DAYS)
+    return plain(ingest.dated(events, inputs.NINE_DAYS)).select("user_id", "timestamp", "event_date")
 
 
 @query
@@ -338,6 +359,13 @@ def split_counts(spark, sf_dir):
     return metrics.split_counts(inputs.matrices(spark, sf_dir))
 
 
+@query
+def split_counts_written(spark, sf_dir):
+    """The same counts as the feature job recorded them while it wrote, without reading the rows."""
+    counts = matrix_source.written_counts(spark, inputs.matrix_root(spark, sf_dir))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 @query
 def split_date_sets(spark, sf_dir):
     return listed(audits.split_date_sets(inputs.matrices(spark, sf_dir)), "dates")
@@ -403,6 +431,15 @@ def sample_negatives(spark, sf_dir):
     return plain(candidates.sample_negatives(pairs, daily_popular(spark, sf_dir), DAILY_FEATURES))
 
 
+@query
+def sample_negatives_long_list(spark, sf_dir):
+    """Monthly negatives from a popular list of up to 50,000 entries."""
+    pairs = matrix.pair_counts(inputs.lake(spark, sf_dir, monthly=True))
+    cfg = inputs.MONTHLY_LONG_LIST
+    popular = stage(candidates.popular_items(pairs, cfg.top_popular), "popular")
+    return plain(candidates.sample_negatives(pairs, popular, cfg))
+
+
 @query
 def topk_per_user(spark, sf_dir):
     return ranking.top_k(inputs.scored(spark, sf_dir, "infer"))
@@ -411,6 +448,42 @@ def topk_per_user(spark, sf_dir):
 # --- top-n, set operations, nested values ------------------------------------------------
 
 
+@query
+def ordered_results(spark, sf_dir):
+    """The lists of the scoring day, written in ranges of users and read back in that order."""
+    root = scratch_path(spark, "ordered")
+    lists = ranking.recommendation_lists(ranking.top_k(inputs.scored(spark, sf_dir, "infer")))
+    ordered_source.write_ordered(lists, root, ["user_id"])
+    items = F.col("recommended_items.item_id").cast("array<string>")
+    return ordered_source.read_ordered(spark, root, place="place").select(
+        "place", "user_id", F.array_join(items, ",").alias("ranked_items")
+    )
+
+
+@query
+def union_files(spark, sf_dir):
+    """The log from one file per kind of event, as one relation, accounted by file."""
+    root = scratch_path(spark, "csv")
+    log = inputs.daily_log(spark, sf_dir)
+    log.withColumn("kind", F.col("behavior_type")).write.partitionBy("kind").csv(root)
+    kinds = ["buy", "cart", "fav", "pv"]
+    rows = log_source.read_csv_files(spark, [f"{root}/kind={k}" for k in kinds])
+    kind = F.regexp_extract("file", "/kind=([a-z]+)/", 1)
+    return rows.select(*log_source.LOG_COLS, kind.alias("file"))
+
+
+@query
+def file_accounts(spark, sf_dir):
+    """Rows and times of the log's files, those of one kind of event taken together."""
+    root = scratch_path(spark, "csv")
+    log = inputs.daily_log(spark, sf_dir)
+    log.withColumn("kind", F.col("behavior_type")).write.partitionBy("kind").csv(root)
+    accounts = log_source.file_accounts(log_source.read_csv_files(spark, [f"{root}/kind=*"]))
+    return accounts.groupBy(F.regexp_extract("file", "/kind=([a-z]+)/", 1).alias("file")).agg(
+        F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+
+
 @query
 def latest_finished_run_(spark, sf_dir):
     """Orders as runs: the date is the start, status F is a finished one."""
@@ -535,15 +608,31 @@ def split_days_audit(spark, sf_dir):
     return listed(audits.split_days(inputs.matrices(spark, sf_dir), SPLITS), "days")
 
 
+def _faulty(spark, sf_dir):
+    """The matrices without the scoring rows and without the positives a model would learn from."""
+    rows = inputs.matrices(spark, sf_dir).where("split <> 'infer'")
+    return rows.where("not (split = 'train' and label = 1)")
+
+
+@query
+def split_days_audit_of_faults(spark, sf_dir):
+    return listed(audits.split_days(_faulty(spark, sf_dir), SPLITS), "days")
+
+
 @query
 def label_audit(spark, sf_dir):
     return audits.labels(inputs.matrices(spark, sf_dir))
 
 
+@query
+def label_audit_of_faults(spark, sf_dir):
+    return audits.labels(_faulty(spark, sf_dir))
+
+
 @query
 def qualified_users_audit(spark, sf_dir):
-    events, qualified = ingest_plan(inputs.daily_log(spark, sf_dir), DAILY_STRICT)
-    return plain(audits.lake(events, qualified, DAILY_STRICT))
+    found = ingest_plan(inputs.daily_log(spark, sf_dir), DAILY_STRICT)
+    return plain(audits.lake(found.events, found.qualified, DAILY_STRICT))
 
 
 @query
@@ -613,7 +702,7 @@ def all_dates_bootstrap_events(spark, sf_dir):
 
 @query
 def all_dates_popular_items(spark, sf_dir):
-    counts = matrix.pair_counts(inputs.all_dates_lake(spark, sf_dir))
+    counts = matrix.pair_counts(inputs.lake(spark, sf_dir))
     return candidates.popular_items(counts, inputs.ALL_DATES_FEATURES.top_popular)
 
 

@@ -18,6 +18,7 @@ from tidemark.sources.storage import delete
 # number of map-reduce blocks costs more than larger, spilling partitions do.
 SHUFFLE_BYTES = 256 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SHUFFLE_SETTING = "spark.tidemark.maxShufflePartitions"
 
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
@@ -115,7 +116,8 @@ def sized_for(df: DataFrame) -> Iterator[None]:
     """
     conf = df.sparkSession.conf
     shuffles = "spark.sql.shuffle.partitions"
-    wanted = min(-(-input_bytes(df) // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    most = int(conf.get(MAX_SHUFFLE_SETTING, str(MAX_SHUFFLE_PARTITIONS)))
+    wanted = min(-(-input_bytes(df) // SHUFFLE_BYTES), most)
     settings = {
         shuffles: str(max(int(conf.get(shuffles)), wanted)),
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": conf.get(
