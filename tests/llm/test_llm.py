@@ -282,6 +282,49 @@ def test_mix_meets_targets(spark, docs):
     assert all(abs(t - n) <= 1 for (_, t), n in taken.items())
 
 
+def reshared(sizes):
+    """Targets by the words of the rule: cap what is above its limit, share the excess anew, until none is."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    budget, out, free = 1.5 * sum(sizes.values()), {}, set(names)
+    while free:
+        level = (budget - sum(out.values())) / sum(weight[s] for s in free)
+        above = {s for s in free if level * weight[s] > 2 * sizes[s]}
+        if not above:
+            return out | {s: level * weight[s] for s in free}
+        out |= {s: 2.0 * sizes[s] for s in above}
+        free -= above
+    return out
+
+
+def test_targets_equal_a_resharing_loop(spark):
+    """Ties of size to weight, zero sizes, the null source, one source."""
+    rng = np.random.default_rng(7)
+    tables = [{"a": 5000, "b": 10, None: 1000}, {"a": 0, "b": 0}, {"a": 7}, {None: 3}, {"a": 50, "b": 20, "c": 10}]
+    for _ in range(12):
+        names = [f"s{i}" for i in range(rng.integers(1, 8))] + [None]
+        tables.append({s: int(rng.choice([0, 1, 2, 5, 10, 20, 50, 1000])) for s in names})
+    for sizes in tables:
+        rows = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(rows).collect()}
+        assert got == pytest.approx(reshared(sizes)), sizes
+
+
+def test_a_mix_of_tied_sources(spark):
+    """Fifty, one and ten documents of three sources, and two that tie."""
+    rows = [(i, prose(i, 20), s) for i, s in enumerate(["a"] * 50 + ["b"] + ["c"] * 10 + ["d"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.taken_words(mixing.mix_sources(docs, block=16)).collect()
+    want = reshared({"a": 1000, "b": 20, "c": 200, "d": 100})
+    source = {i: s for i, _, s in rows}
+    taken = defaultdict(int)
+    for r in found:
+        assert r["taken"] <= 2 * r["size"]
+        taken[source[r["doc_id"]]] += r["taken"]
+        assert r["target"] == pytest.approx(want[source[r["doc_id"]]])
+    assert all(abs(taken[s] - want[s]) <= max(32, 0.15 * want[s]) for s in want), (dict(taken), want)
+
+
 def test_index_permutation():
     for n in (1, 2, 5, 64, 1000):
         p = mixing.IndexPermutation(n, 7)

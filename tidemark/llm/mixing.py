@@ -75,9 +75,10 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) -
         .withColumn("capped", F.col("cap") <= F.col("level") * F.col("weight"))
         .withColumn(
             "common",
-            F.min(F.when(~F.col("capped"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(
-                everything
-            )["level"],
+            # of the first source that is not capped, in the same order as ``spent``
+            F.min(
+                F.when(~F.col("capped"), F.struct(F.col("cap") / F.col("weight"), "source_no", "level"))
+            ).over(everything)["level"],
         )
     )
     target = F.when(F.col("capped"), F.col("cap")).otherwise(F.col("common") * F.col("weight"))
