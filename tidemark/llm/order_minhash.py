@@ -143,7 +143,8 @@ def edited_fingerprints(
     bounds = F.array(*(F.lit(c) for c in sorted(set(cuts)))).cast("array<bigint>")
     ranged = rows.withColumn("range", F.size(F.filter(bounds, lambda c: c <= F.col("place"))))
     least = ranged.groupBy("range").agg(F.min("place").alias("place"))
-    firsts = ranged.join(least, ["range", "place"], "left_semi").groupBy("range").agg(
+    # a row for each range: the texts stay where they are
+    firsts = ranged.join(F.broadcast(least), ["range", "place"], "left_semi").groupBy("range").agg(
         F.min("text").alias("text")
     )
     order = Window.partitionBy("range").orderBy("place", "text")
