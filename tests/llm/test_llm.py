@@ -389,16 +389,65 @@ def test_query_matches_sql(spark, name):
     con.close()
 
 
-def test_pipeline_stages(spark):
+def near_duplicates(rows):
+    """Which (id, text) rows the second stage keeps: the smallest id of each group of linked texts."""
+    keys = sorted({(i, t) for i, t, *_ in rows if i is not None}, key=str)
+    sets = {}
+    for i, t in keys:
+        w = (t or "").encode().lower().split()
+        sets[i, t] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    similar = lambda p, q: p & q and 100 * len(p & q) >= 80 * len(p | q)
+    links = [(x, y) for x, y in itertools.combinations(keys, 2) if similar(sets[x], sets[y])]
+    label = {x: x[0] for x in keys}
+    for _ in keys:
+        for x, y in links:
+            label[x] = label[y] = min(label[x], label[y])
+    return {x for x in keys if label[x] == x[0]} | {(i, t) for i, t, *_ in rows if i is None}
+
+
+def test_near_duplicates_go_by_text_where_ids_repeat(spark, none):
+    a, b = prose(31), prose(32)
+    rows = [(3, a), (5, a + " tail"), (5, b), (6, b + " tail"), (5, b), (None, a), (7, None), (8, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 2, 3) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert kept.columns == docs.columns
+    assert sorted(got, key=str) == sorted(near_duplicates(rows), key=str)
+    assert {i for i, _ in got if i} == {3, 5, 7, 8, 9} and len(got) == 6
+    assert corpus_pipeline.drop_near_duplicates(spark, none, SF).collect() == []
+
+
+def brute_leaks(rows, items):
+    """Ids of documents that hold every five-word shingle of an item (the whole item if it is shorter)."""
+    split = lambda t: (t or "").encode().lower().split()
+    grams = lambda w: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    wanted = [grams(split(t)) for t in items if split(t)]
+    return {i for i, t in rows if any(g <= grams(split(t)) for g in wanted if len(next(iter(g))) == 5)}
+
+
+def test_pipeline_equals_its_stages_and_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns, counts = docs.columns, []
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    columns, kept = docs.columns, []
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
         out = stage(spark, docs, SF)
         assert out.columns == columns
-        docs = spark.createDataFrame(out.collect(), out.schema)
-        counts.append(docs.count())
+        rows = out.collect()
+        before = docs
+        docs = spark.createDataFrame(rows, out.schema)
+        kept.append([(r["doc_id"], r["text"]) for r in rows])
+        if number == 1:
+            given = [(r["doc_id"], r["text"]) for r in before.collect()]
+            assert sorted(kept[1]) == sorted(near_duplicates(given))
         if number == 2:
-            assert docs.select("doc_id").distinct().count() == counts[-1]
-    assert counts[0] > counts[2] > 0
-    tokens = corpus_pipeline.STAGES[4][1](spark, docs, SF)
-    assert tokens.count() == counts[3]
+            leaks = brute_leaks(kept[1], items)
+            assert leaks <= {i for i, _ in kept[1]} - {i for i, _ in kept[2]}
+    assert len(kept[0]) > len(kept[1]) >= len(kept[2]) > 0
+    # each word of the mix is a word of a document that was left
+    whole = {i: t.split() for i, t in kept[2]}
+    assert {i for i, _ in kept[3]} <= set(whole)
+    assert all(set(t.split()) <= set(whole[i]) for i, t in kept[3])
+    words = sum(map(len, whole.values()))
+    assert abs(sum(len(t.split()) for _, t in kept[3]) - 1.5 * words) < 0.1 * words
+    tokens = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in tokens) == sorted(i for i, _ in kept[3])

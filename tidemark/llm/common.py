@@ -17,7 +17,7 @@ SLICES = 64
 FAN_IN = 32
 
 # Entries a per-task word cache holds before it starts again; bounds a task's memory.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 
 # Fixed value: what separates words, in the syntax of Java's and RE2's patterns.
 WORD = r"[^\x20\x09-\x0D]+"

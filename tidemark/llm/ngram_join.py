@@ -59,6 +59,9 @@ BLOCK = 1024
 PAIRS_PER_ROW = 2
 STAR_ROUNDS = 4
 
+# Rows whose sets are handed back at a time.
+ROWS_OUT = 1024
+
 
 def _bucket(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
@@ -115,7 +118,8 @@ def _bitmap(keys: np.ndarray) -> np.ndarray:
 def _set_writer(k: int, percent: int, classes: bytes):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = WordHashes(), np.frombuffer(classes, np.uint8)
-        for batch in batches:
+        pieces = (b.slice(at, ROWS_OUT) for b in batches for at in range(0, b.num_rows, ROWS_OUT))
+        for batch in pieces:
             ids, sizes, d1, d2, prefixes, bits = [], [], [], [], [], []
             for key, text in text_rows(batch, "id", "text"):
                 keys = _keys(text, k, hashes, ranks)
@@ -133,13 +137,14 @@ def _set_writer(k: int, percent: int, classes: bytes):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    batch.column(batch.schema.get_field_index("text_key")),
                     pa.array(sizes, pa.int64()),
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                     pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(words)),
                 ],
-                names=["id", "n", "node", "check", "prefix", "bits"],
+                names=["id", "text_key", "n", "node", "check", "prefix", "bits"],
             )
 
     return write
@@ -301,9 +306,9 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     )
     classes = frequency_classes(texts, k)
     sets = stage(
-        texts.mapInArrow(
+        texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
             _set_writer(k, percent, classes),
-            "id long, n long, node long, check long, prefix array<long>, bits array<long>",
+            "id long, text_key long, n long, node long, check long, prefix array<long>, bits array<long>",
         ),
         "ngram-sets",
     )
@@ -339,18 +344,19 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
 def _with_components(
     sets: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str
 ) -> DataFrame:
-    """(id, n_shingles, class_id, component_id, node) of every row."""
+    """(id, n_shingles, class_id, component_id, text_key, node) of every row."""
     labels = components(links)
     by_node = nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = by_node.groupBy("label").agg(F.min("class_id").alias("component_id"))
     result = by_node.join(smallest, "label").drop("label")
-    out = sets.select("id", "n", "node", "check").join(result, ["node", "n", "check"], "left")
+    out = sets.select("id", "text_key", "n", "node", "check").join(result, ["node", "n", "check"], "left")
     empty = F.col("n") == 0
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(empty, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_key",
         F.when(~empty, F.col("node")).alias("node"),
     )
 
@@ -358,7 +364,9 @@ def _with_components(
 def ngram_jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
 ) -> DataFrame:
-    """(id, n_shingles, class_id, component_id), a row for each row of ``docs``.
+    """(id, n_shingles, class_id, component_id, text_key), a row for each row of ``docs``.
+
+    ``text_key`` is Spark's ``xxhash64`` of the text, which tells rows of one id apart.
 
     Words are lower-cased in A-Z and separated by ASCII white space. Two rows link when
     ``100 * |intersection| >= percent * |union|`` of their sets of ``k``-word n-grams.
