@@ -1,17 +1,21 @@
 """Model, audits and the four jobs in a row."""
 
+import math
+
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.config import TOP_K, IngestConfig, Splits, TrainConfig
-from tidemark.operators import audits, model
+from tidemark.operators import audits, model, trees
 from tidemark.plans import run_bootstrap, run_features, run_inference, run_training
 from tidemark.sources.log import LOG_SCHEMA
 from tidemark.sources.matrices import read_matrices, read_split
 from tidemark.sources.results import ResultTable
 from tidemark.sources.runs import FAILED, RunRegistry
 
-CFG = TrainConfig(max_rounds=12, first_stage=4, patience=3)
+CFG = TrainConfig(max_rounds=12, rounds_per_table=4, patience=3)
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +101,21 @@ def test_audits_see_faults(spark, roots):
     assert sound == {"train": True, "val": True, "test": True, "infer": False}
 
 
+def test_audits_list_what_is_missing(spark, roots):
+    rows = read_matrices(spark, roots["matrices"])
+    short = rows.where("split <> 'infer'")
+    found = {r["split"]: (list(r["days"]), r["as_expected"]) for r in audits.split_days(short, Splits()).collect()}
+    assert found == {"train": ([4, 5, 6], True), "val": ([7], True), "test": ([8], True), "infer": ([], False)}
+    sound = {r["split"]: r["sound"] for r in audits.labels(short).collect()}
+    assert sound == {"train": True, "val": True, "test": True, "infer": False}
+    negatives = rows.where("not (split = 'train' and label = 1)")
+    sound = {r["split"]: r["sound"] for r in audits.labels(negatives).collect()}
+    assert sound == {"train": False, "val": True, "test": True, "infer": True}
+    strange = rows.withColumn("split", F.when(F.col("split") == "val", "dev").otherwise(F.col("split")))
+    found = {r["split"]: r["as_expected"] for r in audits.split_days(strange, Splits()).collect()}
+    assert found == {"train": True, "val": False, "test": True, "infer": True, "dev": False}
+
+
 def test_lake_audit_sees_unqualified_rows(spark):
     cfg = IngestConfig()
     raw = spark.createDataFrame(
@@ -116,14 +135,68 @@ def test_stopping_round():
     assert model.stopping_round([0.5, 0.5, 0.5], 2) == (1, True)
 
 
-def test_growing_in_stages_gives_the_same_trees(spark, roots):
-    """The leading trees of a longer fit are those of the shorter one."""
-    rows = model._training_rows(read_split(spark, roots["matrices"], "train")).cache()
-    held_out = model._training_rows(read_split(spark, roots["matrices"], "val"))
-    short, long = model._fit(rows, 3, CFG), model._fit(rows, 6, CFG)
-    assert short.evaluateEachIteration(held_out) == pytest.approx(
-        long.evaluateEachIteration(held_out)[:3], abs=1e-12
-    )
+def library_booster(rows, rounds, cfg):
+    labelled = model.assemble_features(rows).select(F.col("label").cast("double").alias("label"), "features")
+    return GBTClassifier(
+        featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=cfg.max_depth,
+        stepSize=cfg.step_size, seed=cfg.seed,
+    ).fit(labelled), labelled
+
+
+def test_growing_trees_equal_the_library_s_booster(spark, roots):
+    """The same trees, weights, losses and scores as a fit of the whole number of rounds."""
+    train, val = (read_split(spark, roots["matrices"], s) for s in ("train", "val"))
+    cfg = TrainConfig(max_rounds=4, rounds_per_table=2, patience=4)
+    forest, losses = model.train_gbt(train, val, cfg)
+    whole, _ = library_booster(train, 4, cfg)
+    held_out = model.assemble_features(val).select(F.col("label").cast("double").alias("label"), "features")
+    assert losses == pytest.approx(whole.evaluateEachIteration(held_out), abs=1e-9)
+    assert [t.weight for t in forest.trees] == list(whole.treeWeights)[: len(forest.trees)]
+    fitted, _ = library_booster(train, len(forest.trees), cfg)
+    theirs = fitted.transform(model.assemble_features(val)).select(
+        vector_to_array("probability")[1].alias("p"))
+    ours = model.score(forest, val)
+    assert sorted(r["score"] for r in ours.collect()) == pytest.approx(sorted(r["p"] for r in theirs.collect()), abs=1e-9)
+
+
+def test_no_round_is_fitted_twice_and_the_best_one_is_kept(spark, roots, monkeypatch):
+    fits = []
+    plain = model.DecisionTreeRegressor.fit
+    monkeypatch.setattr(model.DecisionTreeRegressor, "fit", lambda self, rows: fits.append(1) or plain(self, rows))
+    train, val = (read_split(spark, roots["matrices"], s) for s in ("train", "val"))
+    long, losses = model.train_gbt(train, val, CFG)
+    best, stopped = model.stopping_round(losses, CFG.patience)
+    assert len(fits) == len(losses) <= CFG.max_rounds and len(long.trees) == best
+    assert stopped or len(losses) == CFG.max_rounds
+    # fewer rounds are a prefix of more
+    short, few = model.train_gbt(train, val, TrainConfig(max_rounds=2, patience=3, rounds_per_table=1))
+    assert few == pytest.approx(losses[:2], abs=1e-12)
+    assert short.trees == long.trees[: len(short.trees)]
+
+
+def plain_score(forest, row):
+    margin = 0.0
+    for tree in forest.trees:
+        by_number = {n.node: n for n in tree.nodes}
+        node = tree.nodes[0]
+        while node.feature is not None:
+            node = by_number[node.left if row[node.feature] <= node.threshold else node.right]
+        margin += tree.weight * node.value
+    return 1 / (1 + math.exp(-2 * margin))
+
+
+def test_scores_come_from_the_stored_nodes(spark, roots, trained, tmp_path):
+    registry = RunRegistry(spark, roots["registry"])
+    forest = trees.read_forest(spark, registry.model_path(trained["run_id"]))
+    trees.write_forest(spark, forest, str(tmp_path / "nodes"))
+    assert trees.read_forest(spark, str(tmp_path / "nodes")) == forest
+    rows = read_split(spark, roots["matrices"], "infer")
+    scored = model.score(forest, rows)
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    keys = ("user_id", "item_id", "category_id", "day")
+    got = {tuple(r[k] for k in keys): r["score"] for r in scored.collect()}
+    want = {tuple(r[k] for k in keys): plain_score(forest, r) for r in rows.collect()}
+    assert got == pytest.approx(want, abs=1e-12)
 
 
 def test_command_line(spark, roots, trained, tmp_path):

@@ -26,7 +26,7 @@ def test_each_oracle_has_a_query():
 
 
 def test_only_the_trained_model_has_no_sql():
-    assert ROWS_ONLY == ["score_candidates", "train_gbt"]
+    assert ROWS_ONLY == ["recommend_trained_daily", "score_candidates", "train_gbt"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -50,6 +50,19 @@ def test_score_candidates_gives_probabilities(spark):
     assert all(0.0 <= s <= 1.0 for s in rows)
 
 
+def test_recommend_trained_daily_ranks_the_scored_rows(spark):
+    """At most ten lines a user, by falling score, all of them scored candidates."""
+    scored = registry.queries()["score_candidates"](spark, SF_DIR)
+    scores = {(r["user_id"], r["item_id"]): r["score"] for r in scored.collect()}
+    rows = registry.queries()["recommend_trained_daily"](spark, SF_DIR).collect()
+    users = {}
+    for r in sorted(rows, key=lambda r: (r["user_id"], r["rank"])):
+        assert scores[r["user_id"], r["item_id"]] == r["score"]
+        users.setdefault(r["user_id"], []).append((-r["score"], r["item_id"]))
+    assert set(users) == {u for u, _ in scores}
+    assert all(u == sorted(u) and len(u) <= 10 for u in users.values())
+
+
 def test_entry_runs_with_the_matrix_schema(spark):
     df = registry.entry(spark)
     assert df.count() > 0

@@ -93,7 +93,8 @@ class TrainConfig:
     step_size: float = 0.1
     patience: int = 10
     seed: int = 42
-    first_stage: int = 25
+    # margins are written down every so many rounds; not part of the result
+    rounds_per_table: int = 5
 
 
 # Fixed value: the decision threshold of the class metrics (score >= threshold).

@@ -1,14 +1,15 @@
-"""Boosted trees on the feature matrix with Spark ML."""
+"""Boosted trees on the feature matrix: regression trees of Spark ML, boosted round by round."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import FEATURE_COLS, TrainConfig
+from tidemark.operators.trees import Forest, Tree, nodes_of
+from tidemark.session import stage
 
 
 def assemble_features(matrix: DataFrame) -> DataFrame:
@@ -17,18 +18,24 @@ def assemble_features(matrix: DataFrame) -> DataFrame:
 
 
 def _training_rows(matrix: DataFrame) -> DataFrame:
-    return assemble_features(matrix).select(F.col("label").cast("double").alias("label"), "features")
+    """Features, the label as -1 or 1, and the margin of no trees."""
+    sign = F.col("label").cast("double") * 2.0 - 1.0
+    return matrix.select(*FEATURE_COLS, sign.alias("sign"), F.lit(0.0).alias("margin"))
 
 
-def _fit(rows: DataFrame, rounds: int, cfg: TrainConfig) -> GBTClassificationModel:
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=rounds,
-        maxDepth=cfg.max_depth,
-        stepSize=cfg.step_size,
-        seed=cfg.seed,
-    ).fit(rows)
+def _residual(rounds: int) -> Column:
+    """What the next tree learns: the signs first, then the downhill slope of the loss."""
+    if rounds == 0:
+        return F.col("sign")
+    return F.col("sign") * 4.0 / (F.exp(F.col("sign") * F.col("margin") * 2.0) + 1.0)
+
+
+def _loss(rows: DataFrame) -> float:
+    """Mean of 2 log(1 + exp(-2 y margin)), without overflow for large margins."""
+    x = F.col("sign") * F.col("margin") * -2.0
+    one = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
+    found = rows.agg(F.avg(one)).first()[0]
+    return float("nan") if found is None else 2.0 * found
 
 
 def stopping_round(losses: list[float], patience: int) -> tuple[int, bool]:
@@ -44,31 +51,36 @@ def stopping_round(losses: list[float], patience: int) -> tuple[int, bool]:
 
 def train_gbt(
     train: DataFrame, validation: DataFrame, cfg: TrainConfig = TrainConfig()
-) -> tuple[GBTClassificationModel, list[float]]:
-    """Fit with early stopping; returns the model of the best round and the losses seen.
+) -> tuple[Forest, list[float]]:
+    """Grow trees until the validation loss has not fallen for ``patience`` rounds or the cap is reached.
 
-    The estimator has no patience rule, so trees are grown in doubling stages until the
-    validation loss has stopped falling or the cap is reached. Equal seeds give equal
-    leading trees, so a stage repeats the previous one and adds to it, and the final fit
-    at the best round is the model as it stood then.
+    Returns the trees up to the best round and the loss of every round. No round is fitted twice: the
+    margins of all rows are carried along and written down every ``rounds_per_table`` rounds, so that
+    neither the lineage nor the expressions grow, and each tree is grown on what the margins leave over.
     """
-    rows = _training_rows(train)
-    held_out = _training_rows(validation)
-    rounds = min(cfg.first_stage, cfg.max_rounds)
-    while True:
-        model = _fit(rows, rounds, cfg)
-        losses = list(model.evaluateEachIteration(held_out))
-        best, stopped = stopping_round(losses, cfg.patience)
-        if stopped or rounds >= cfg.max_rounds:
+    rows = stage(_training_rows(train), "boost-rows")
+    held_out = stage(_training_rows(validation), "boost-held-out")
+    trees: list[Tree] = []
+    losses: list[float] = []
+    while len(trees) < cfg.max_rounds:
+        learner = DecisionTreeRegressor(
+            featuresCol="features", labelCol="residual", maxDepth=cfg.max_depth, seed=cfg.seed
+        )
+        learned = assemble_features(rows.withColumn("residual", _residual(len(trees))))
+        fitted = learner.fit(learned.select("features", "residual"))
+        tree = Tree(cfg.step_size if trees else 1.0, nodes_of(fitted, FEATURE_COLS))
+        trees.append(tree)
+        margin = F.col("margin") + tree.column()
+        rows, held_out = rows.withColumn("margin", margin), held_out.withColumn("margin", margin)
+        if len(trees) % cfg.rounds_per_table == 0:
+            rows, held_out = stage(rows, "boost-rows"), stage(held_out, "boost-held-out")
+        losses.append(_loss(held_out))
+        if stopping_round(losses, cfg.patience)[1]:
             break
-        rounds = min(2 * rounds, cfg.max_rounds)
-    if best < rounds:
-        model = _fit(rows, best, cfg)
-    return model, losses
+    return Forest(tuple(trees)).first(stopping_round(losses, cfg.patience)[0]), losses
 
 
-def score(model: GBTClassificationModel, matrix: DataFrame) -> DataFrame:
+def score(forest: Forest, matrix: DataFrame) -> DataFrame:
     """The matrix keys with ``score``, the probability of class 1."""
     keys = [c for c in matrix.columns if c not in FEATURE_COLS]
-    scored = model.transform(assemble_features(matrix))
-    return scored.select(*keys, vector_to_array("probability")[1].alias("score"))
+    return matrix.select(*keys, forest.probability().alias("score"))

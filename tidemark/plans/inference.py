@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.config import TOP_K
 from tidemark.operators.model import score
 from tidemark.operators.ranking import recommendation_lists, top_k
+from tidemark.operators.trees import read_forest
 from tidemark.session import sized_for
 from tidemark.sources.matrices import read_split
 from tidemark.sources.results import ResultTable
@@ -29,7 +29,7 @@ def run_inference(
 ) -> dict:
     registry = RunRegistry(spark, registry_root)
     run_id = registry.latest_run_id()
-    model = GBTClassificationModel.load(registry.model_path(run_id))
-    scored = score(model, read_split(spark, matrix_root, "infer"))
+    forest = read_forest(spark, registry.model_path(run_id))
+    scored = score(forest, read_split(spark, matrix_root, "infer"))
     users = recommend(scored, ResultTable(spark, results_root), k)
     return {"run_id": run_id, "users": users, "persisted": users}

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FeatureConfig, IngestConfig, Splits
 from tidemark.functions.scoring import logistic_score
+from tidemark.operators.model import train_gbt
 from tidemark.operators.skew import hot_keys, skew_join
+from tidemark.operators.trees import Forest, Node, Tree, read_forest, write_forest
 from tidemark.plans.bootstrap import run_bootstrap
 from tidemark.plans.features import run_features
 from tidemark.session import scratch_path
@@ -162,6 +164,32 @@ def split(spark: SparkSession, sf_dir: str, name: str, monthly: bool = False) ->
     return read_split(spark, matrix_root(spark, sf_dir, monthly), name)
 
 
+def trained(spark: SparkSession, sf_dir: str) -> Forest:
+    """The trees learned from the daily matrices, as training hands them to scoring."""
+
+    def build(root: str) -> None:
+        forest, _ = train_gbt(split(spark, sf_dir, "train"), split(spark, sf_dir, "val"))
+        write_forest(spark, forest, root)
+
+    return read_forest(spark, _once(spark, ("trees", sf_dir), "trees", build))
+
+
+# Three small trees that were not learned, so that scoring by a table of nodes has the same result
+# everywhere: the scores of a trained model depend on the trainer.
+FIXED_TREES = Forest(
+    (
+        Tree(1.0, (Node(0, "user_cat_freq", 2.0, 1, 2, 0.0), Node(1, "intent_score", 0.6, 3, 4, 0.0),
+                   Node(2, None, None, None, None, 0.35), Node(3, None, None, None, None, -0.5),
+                   Node(4, "item_popularity", 5.0, 5, 6, 0.0), Node(5, None, None, None, None, -0.125),
+                   Node(6, None, None, None, None, 0.25))),
+        Tree(0.5, (Node(0, "cat_target_enc", 1.5, 1, 2, 0.0), Node(1, None, None, None, None, -0.75),
+                   Node(2, "lag_1", 0.0, 3, 4, 0.0), Node(3, None, None, None, None, 0.1),
+                   Node(4, None, None, None, None, 0.9))),
+        Tree(0.1, (Node(0, None, None, None, None, 0.5),)),
+    )
+)
+
+
 def scored(spark: SparkSession, sf_dir: str, name: str, monthly: bool = False) -> DataFrame:
     """A split scored by the fixed logistic scorer."""
     return split(spark, sf_dir, name, monthly).select(

@@ -16,6 +16,7 @@ from tidemark.registry.inputs import (
     DAILY,
     DAILY_FEATURES,
     DAILY_STRICT,
+    FIXED_TREES,
     MONTHLY,
     MONTHLY_FEATURES,
     MONTHLY_LONG_LIST,
@@ -213,6 +214,8 @@ def _sql(relations: dict[str, str], final: str) -> str:
 
     mentioned(final, len(names))
     ctes = ",\n".join(f"{n} AS ({relations[n]})" for n in names if n in needed)
+    if final.startswith(_TREE_SCORES.strip()):
+        return f"WITH RECURSIVE {ctes}{_tree_relations()}\n{final}"
     return f"WITH {ctes}\n{final}" if ctes else final
 
 
@@ -286,6 +289,47 @@ FROM (SELECT w.split, count(CASE WHEN label = 1 THEN 1 END) AS positives,
       LEFT JOIN {rows} AS r ON r.split = w.split GROUP BY w.split)"""
 
 
+def _tree_relations() -> str:
+    """Every scoring row walks down every tree: one step of the recursion is one level."""
+    nodes = ",\n           ".join(
+        f"({number}, {tree.weight}::DOUBLE, {n.node}, {_text(n.feature)}, {_number(n.threshold)}, "
+        f"{_number(n.left)}, {_number(n.right)}, {n.value}::DOUBLE)"
+        for number, tree in enumerate(FIXED_TREES.trees)
+        for n in tree.nodes
+    )
+    features = ", ".join(f"'{c}': CAST({c} AS DOUBLE)" for c in FEATURE_COLS)
+    return f""",
+tree_nodes(tree, weight, node, feature, threshold, left_node, right_node, value) AS (
+    VALUES {nodes}),
+tree_rows AS (
+    SELECT row_number() OVER () AS id, *, MAP {{{features}}} AS f FROM matrix WHERE split = 'infer'),
+walk AS (
+    SELECT r.id, n.tree, n.node FROM tree_rows r, tree_nodes n WHERE n.node = 0
+    UNION ALL
+    SELECT w.id, w.tree, CASE WHEN r.f[n.feature] <= n.threshold THEN n.left_node ELSE n.right_node END
+    FROM walk w
+    JOIN tree_nodes n ON n.tree = w.tree AND n.node = w.node AND n.feature IS NOT NULL
+    JOIN tree_rows r ON r.id = w.id),
+margins AS (
+    SELECT w.id, sum(n.weight * n.value) AS margin
+    FROM walk w JOIN tree_nodes n ON n.tree = w.tree AND n.node = w.node AND n.feature IS NULL
+    GROUP BY w.id),
+tree_scores AS (
+    SELECT r.*, round(1.0 / (1.0 + exp(-2.0 * margin)), {SCORE_DIGITS}) AS score
+    FROM tree_rows r JOIN margins m ON m.id = r.id)"""
+
+
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
+
+def _number(value: float | None) -> str:
+    return "NULL" if value is None else str(value)
+
+
+# Marks the place of the relations above, after those of the matrix.
+_TREE_SCORES = "-- tree scores, FROM matrix\n"
+
 _FINAL_DAILY = {
     "scan_csv_log": f"SELECT {_LOG_COLS} FROM log",
     "scan_raw_events": f"SELECT {_LAKE} FROM raw",
@@ -430,6 +474,15 @@ FROM top GROUP BY user_id""",
     "explode_recommendations": (
         "SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score FROM top"
     ),
+    "score_by_tree_nodes": _TREE_SCORES
+    + f"""
+SELECT user_id, item_id, category_id, day, {_DATE}, label, split, score FROM tree_scores""",
+    "recommend_by_tree_nodes": _TREE_SCORES
+    + f"""
+SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+      FROM tree_scores)
+WHERE rank <= {TOP_K}""",
     "auc_roc": f"SELECT round(auc_roc, {METRIC_DIGITS}) AS auc_roc FROM auc",
     "log_loss": "SELECT test_logloss AS log_loss FROM report",
     "classification_metrics": (

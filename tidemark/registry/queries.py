@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import FEATURE_COLS, TOP_K, TrainConfig
 from tidemark.functions import columns, recommendations
 from tidemark.functions.scoring import logistic_score
-from tidemark.operators import audits, candidates, history, ingest, matrix, metrics, model, ranking
+from tidemark.operators import audits, candidates, history, ingest, matrix, metrics, model, ranking, trees
 from tidemark.operators.days import day_index, with_day
 from tidemark.plans.bootstrap import ingest as ingest_plan
 from tidemark.plans.bootstrap import run_bootstrap
@@ -535,22 +535,49 @@ def explode_recommendations(spark, sf_dir):
 @query
 def train_gbt(spark, sf_dir):
     """Validation loss per boosting round up to the early stop, and the round chosen."""
-    fitted, losses = model.train_gbt(
+    forest, losses = model.train_gbt(
         inputs.split(spark, sf_dir, "train"), inputs.split(spark, sf_dir, "val"), TrainConfig()
     )
-    trees = fitted.getNumTrees
+    chosen = len(forest.trees)
     return spark.createDataFrame(
-        [(i + 1, float(loss), i + 1 == trees) for i, loss in enumerate(losses)],
+        [(i + 1, float(loss), i + 1 == chosen) for i, loss in enumerate(losses)],
         "round int, validation_loss double, chosen boolean",
     )
 
 
 @query
 def score_candidates(spark, sf_dir):
-    fitted, _ = model.train_gbt(
-        inputs.split(spark, sf_dir, "train"), inputs.split(spark, sf_dir, "val"), TrainConfig()
-    )
-    return plain(model.score(fitted, inputs.split(spark, sf_dir, "infer")))
+    """The scoring rows by the stored trees of the training job."""
+    return plain(model.score(inputs.trained(spark, sf_dir), inputs.split(spark, sf_dir, "infer")))
+
+
+def _scored_by_fixed_trees(spark, sf_dir):
+    """The scoring rows by trees that are written as a table of nodes and read from it."""
+    path = scratch_path(spark, "nodes")
+    trees.write_forest(spark, inputs.FIXED_TREES, path)
+    scored = model.score(trees.read_forest(spark, path), inputs.split(spark, sf_dir, "infer"))
+    return scored.withColumn("score", F.round("score", inputs.SCORE_DIGITS))
+
+
+@query
+def score_by_tree_nodes(spark, sf_dir):
+    return plain(_scored_by_fixed_trees(spark, sf_dir))
+
+
+@query
+def recommend_by_tree_nodes(spark, sf_dir):
+    """The daily job with scores from tree nodes: score, rank, nest, upsert, read back."""
+    table = result_source.ResultTable(spark, scratch_path(spark, "results"))
+    recommend(_scored_by_fixed_trees(spark, sf_dir), table)
+    return recommendations.explode_items(table.read().drop("updated_at"))
+
+
+@query
+def recommend_trained_daily(spark, sf_dir):
+    """The daily job with the trees that training stored."""
+    table = result_source.ResultTable(spark, scratch_path(spark, "results"))
+    recommend(model.score(inputs.trained(spark, sf_dir), inputs.split(spark, sf_dir, "infer")), table)
+    return recommendations.explode_items(table.read().drop("updated_at"))
 
 
 @query
