@@ -19,9 +19,9 @@ from tidemark.session import scratch_path
 from tidemark.sources.manifest import ConcurrentWriteError, Manifests
 from tidemark.sources.storage import data_files, delete
 
-# Buckets of a new table: at some 200 bytes a user 256 of them hold a hundred million users in files
-# of 80 MB. Give more for more users.
-BUCKETS = 256
+# Buckets of a new table: at some 200 bytes a user 64 of them hold a hundred million users in files
+# of 300 MB. Give more for more users.
+BUCKETS = 64
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -190,7 +190,9 @@ class ResultTable:
         if not touched:
             return {}
         old = self._scan([f for b in touched for f in content["files"].get(str(b), [])])
-        merged = merge_results(old, self._read_staged(staged), content["buckets"], len(touched))
+        # a task may write several buckets, one after the other
+        tasks = min(len(touched), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        merged = merge_results(old, self._read_staged(staged), content["buckets"], tasks)
         merged.write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
         out: dict[str, list[str]] = {}
         for name in data_files(self.spark, f"{self.root}/{folder}"):
