@@ -8,7 +8,9 @@
    attempt of a lost task, writes the same records.
 3. Reading parses the records by their lengths and joins revisits to their responses.
 
-Archives are gzip files of at most ``FILE_RECORDS`` records, written and committed by Spark.
+Archives are gzip files, written and committed by Spark: of at most ``FILE_RECORDS`` records, fewer where
+records are large, so that an archive holds some ``FILE_BYTES`` of average records. They are read as a
+stream, one record in memory at a time and ``BATCH_RECORDS`` rows of headers.
 
 Defined cases: a null payload is empty; a null address becomes ``urn:page:<id>``. Pages equal in id
 and payload are all responses. A null id is never a response others refer to, unless all ids of
@@ -20,7 +22,10 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
+import itertools
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +36,8 @@ from tidemark.session import stage
 
 LEAST_BYTES = 100
 FILE_RECORDS = 4096
+FILE_BYTES = 256 << 20
+BATCH_RECORDS = 1024
 DATE = "2024-01-01T00:00:00Z"
 
 _EOL = "\r\n"
@@ -87,6 +94,8 @@ def write_warc(
     )
     same = (F.col("digest") == F.col("r_digest")) & F.col("page_id").eqNullSafe(F.col("r_id"))
     rows = own.join(again, same, "left")
+    mean = own.agg(F.avg("bytes")).first()[0] or 0
+    file_records = int(min(FILE_RECORDS, max(1, FILE_BYTES // (mean + 1))))
     is_revisit = F.col("refers_to").isNotNull()
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     address = F.coalesce(
@@ -117,51 +126,49 @@ def write_warc(
         rows.select(record.alias("value"))
         .write.option("lineSep", _EOL)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", FILE_RECORDS)
+        .option("maxRecordsPerFile", file_records)
         .text(path)
     )
 
 
-def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of an archive, found by its length."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:stop].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines)
-        end = stop + 4 + int(headers["Content-Length"])
-        yield headers, data[stop + 4 : end]
-        if data[end : end + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} has a wrong length")
-        at = end + 4
+def warc_records(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of every record of an unpacked archive, each found by the length of the one before."""
+    while version := archive.readline():
+        if not version.startswith(b"WARC/"):
+            raise ValueError(f"no record where {version[:40]!r} stands")
+        lines = iter(archive.readline, b"\r\n")
+        headers = dict(line.decode().rstrip("\r\n").split(": ", 1) for line in lines)
+        length = int(headers["Content-Length"])
+        block = archive.read(length)
+        if len(block) != length or archive.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {headers['WARC-Record-ID']} has a wrong length")
+        yield headers, block
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in PARSED.split(", ")]
     kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.bool_()]
     schema = pa.schema(list(zip(names, kinds)))
+    def row(head: dict[str, str], block: bytes) -> dict:
+        payload = block[block.index(b"\r\n\r\n") + 4 :]
+        digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
+        stored = head["WARC-Type"] == "response"
+        return {
+            "page_id": int(head["X-Page-Id"]) if head.get("X-Page-Id") else None,
+            "record_id": head["WARC-Record-ID"],
+            "refers_to_id": head.get("WARC-Refers-To"),
+            "record_type": head["WARC-Type"],
+            "payload_digest": digest,
+            "stored_bytes": len(payload) if stored else None,
+            "intact": hashlib.sha256(payload).hexdigest() == digest if stored else None,
+        }
+
     for batch in batches:
-        for i in range(batch.num_rows):
-            content = batch.column(0)[i].as_py()
-            rows = []
-            for head, block in warc_records(gzip.decompress(content) if content else b""):
-                payload = block[block.index(b"\r\n\r\n") + 4 :]
-                digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
-                stored = head["WARC-Type"] == "response"
-                rows.append(
-                    {
-                        "page_id": int(head["X-Page-Id"]) if head.get("X-Page-Id") else None,
-                        "record_id": head["WARC-Record-ID"],
-                        "refers_to_id": head.get("WARC-Refers-To"),
-                        "record_type": head["WARC-Type"],
-                        "payload_digest": digest,
-                        "stored_bytes": len(payload) if stored else None,
-                        "intact": hashlib.sha256(payload).hexdigest() == digest if stored else None,
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema)
+        for content in batch.column(0):
+            with gzip.open(io.BytesIO(content.as_py())) as archive:
+                rows = (row(*record) for record in warc_records(archive))
+                while part := list(itertools.islice(rows, BATCH_RECORDS)):
+                    yield pa.RecordBatch.from_pylist(part, schema)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
