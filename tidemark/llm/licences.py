@@ -275,7 +275,7 @@ def licenses_sql() -> str:
     for pattern, same in SPELLINGS:
         out = f"regexp_replace({out}, {quote(pattern)}, {quote(same)}, 'g')"
     digest = f"sha256(trim(regexp_replace({out}, {quote(_OTHER)}, ' ', 'g'), ' '))"
-    values = ", ".join(f"({quote(s)}, {quote(t)})" for s, t in known_texts())
+    values = ", ".join(f"({quote(s)}, {quote(t)})" for s, t in known_texts() + whole_texts())
     return f"""
         WITH known AS (
             SELECT {digest} AS digest, min(license) AS license
