@@ -300,6 +300,21 @@ def test_warc_round_trip(spark, tmp_path):
         assert got[i]["payload_digest"] == hashlib.sha256(data).hexdigest()
 
 
+def test_archives_of_large_records_hold_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    monkeypatch.setattr(warc, "BATCH_RECORDS", 3)
+    rows = [(i, f"http://h/{i}", f"<html>{i} " + "long page " * 5000, "x") for i in range(20)]
+    rows += [(None, None, "n" * 200, "x"), (7, "http://h/7", rows[7][2], "x")]
+    out = str(tmp_path / "w")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string").coalesce(1)
+    warc.write_warc(pages, out)
+    assert len(list((tmp_path / "w").glob("*.gz"))) >= 5
+    got = warc.read_warc(spark, out).collect()
+    assert len(got) == 22 and all(r["intact"] and r["record_type"] == "response" for r in got)
+    warc.write_warc(pages.limit(0), out + "0")
+    assert warc.read_warc(spark, out + "0").count() == 0
+
+
 def test_mix_meets_targets(spark, docs):
     got = mixing.taken_words(mixing.mix_sources(docs, block=16)).collect()
     again = mixing.taken_words(mixing.mix_sources(docs, block=16)).collect()
@@ -411,6 +426,64 @@ def test_language_cues_decide_without_text(spark):
     assert len(got) == 43 and got[200] == "de" and got[0] == "de" and got[100] == "en"
 
 
+def brute_languages(model, rows):
+    """(lang, probability, text_lang) of (text, declared, suffix, host, domain) rows, one at a time."""
+    cells, n = language._Cells(), len(model.languages)
+    logs, posts = [], []
+    for text, *_ in rows:
+        own = cells.of(text or "")
+        mean = model.logs[:, own].mean(axis=1, dtype=float) * min(len(own), 40) if len(own) else np.zeros(n)
+        logs.append(mean - mean.max())
+        posts.append(np.exp(logs[-1]) / np.exp(logs[-1]).sum())
+    share = (np.sum(posts, axis=0) + 1) / (len(rows) + n)
+
+    def smoothed(at, columns, weight, towards):
+        key = [rows[at][c] for c in columns]
+        if None in key:
+            return None
+        others = [posts[i] for i, r in enumerate(rows) if i != at and [r[c] for c in columns] == key]
+        return (np.sum(others, axis=0) + weight * towards) / (len(others) + weight)
+
+    for i in range(len(rows)):
+        domain = smoothed(i, [4], 20, share)
+        domain = share if domain is None else domain
+        host = smoothed(i, [3, 4], 5, domain)
+        total = logs[i] + np.log(domain if host is None else host)
+        for cue in (1, 2):
+            given = smoothed(i, [cue], 2, share)
+            total += 0 if given is None else np.log(given / share)
+        p = np.exp(total - total.max())
+        yield model.languages[p.argmax()], p.max() / p.sum(), model.languages[posts[i].argmax()]
+
+
+def test_every_language_is_kept_and_fused_as_by_hand(spark):
+    rng, names = np.random.default_rng(5), [f"l{i:02d}" for i in range(70)]
+
+    def words(i, n):
+        return " ".join(f"word{i}x{j}" for j in rng.integers(0, 30, n))
+
+    labelled = [(words(i % 70, 20), names[i % 70]) for i in range(280)] + [(None, "l00"), ("stray", None)]
+    model = language.fit_languages(spark.createDataFrame(labelled, "text string, lang string"))
+    assert model.languages == tuple(names)
+    rows = [(words(i % 70, 6), names[i % 70], f"s{i % 3}", f"h{i % 9}.a{i % 3}", f"a{i % 3}") for i in range(140)]
+    rows += [(None, None, None, None, None), ("", None, "s1", "h1.a1", "a1"), (None, "l03", None, None, None)]
+    rows += [rows[5]] * 3 + [(words(69, 3000), None, None, "h0.a0", "a0")]
+    given = [(*r, i, -i, f"e{i}") for i, r in enumerate(rows)]
+    records = spark.createDataFrame(
+        given, "text string, declared string, suffix string, host string, domain string, salt int, post int, Lang string"
+    )
+    found = language.identify_languages(records, model, html=False)
+    assert found.columns == [*records.columns[1:], "_lang", "probability", "text_lang"]
+    got = {r["salt"]: r for r in found.collect()}
+    assert len(got) == len(rows) and {r["text_lang"] for r in got.values()} == set(names)
+    for i, (lang, probability, text_lang) in enumerate(brute_languages(model, rows)):
+        r = got[i]
+        assert (r["post"], r["Lang"], r["host"]) == (-i, f"e{i}", rows[i][3])
+        assert r["probability"] == pytest.approx(probability, rel=1e-4)
+        if rows[i][0]:
+            assert (r["_lang"], r["text_lang"]) == (lang, text_lang)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duck("/root/testdata/sf0.01")

@@ -10,9 +10,13 @@
   posteriors, smoothed towards the language's share; a missing value says nothing.
 * The logarithms are added and normalised.
 
+Every label is a language. The model is a table of languages times cells of four bytes that every worker
+holds (1 MB for each language); counting takes ``LANGUAGES_AT_ONCE`` languages to a pass over their rows.
+
 Defined cases: a null or empty text has no text evidence; null or malformed addresses have no host
 and no suffix. Repeated rows are equal evidence, each counted. Null ids are kept. An empty table
-gives an empty result. With no labelled text there are no languages and the result is null.
+gives an empty result. With no labelled text there are no languages and the result is null. Extra
+columns of any name are kept; the result's own get a leading underscore where a name is taken.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CACHE_WORDS, count_table
+from tidemark.llm.common import CACHE_WORDS, clear_name, count_table
 from tidemark.session import stage
 
 TABLE_BITS = 18
-MOST_LANGUAGES = 64
+LANGUAGES_AT_ONCE = 16
 MOST_TOKENS = 40.0
 # Smoothing weights, in rows: of the domain for a host, of the corpus for a domain, of a cue.
 HOST_WEIGHT = 5.0
@@ -65,26 +69,30 @@ class LanguageModel:
 def fit_languages(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageModel:
-    """Word likelihoods of the (at most ``MOST_LANGUAGES`` most frequent) labels of ``docs``."""
-    counted = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count()
-    top = counted.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    names = tuple(sorted(r["lang"] for r in top))
+    """Word likelihoods of the labels of ``docs``. Null labels and texts say nothing."""
+    lang = F.col(lang_col).cast("string")
+    names = tuple(sorted(r[0] for r in docs.where(lang.isNotNull()).select(lang).distinct().collect()))
     if not names:
         return LanguageModel((), np.zeros((0, 1 << TABLE_BITS)))
-    index = {n: i for i, n in enumerate(names)}
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        cells, total = _Cells(), np.zeros((len(names), 1 << TABLE_BITS), np.int64)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                rows = batch.slice(start, 512)
-                for text, lang in zip(*(rows.column(i).to_pylist() for i in range(2))):
-                    if lang in index:
-                        np.add.at(total[index[lang]], cells.of(text or ""), 1)
-        return total.ravel()
-
-    rows = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
-    counts = count_table(rows, count, len(names) << TABLE_BITS).reshape(len(names), -1)
+    def counts_of(some: tuple[str, ...]) -> np.ndarray:
+        index = {n: i for i, n in enumerate(some)}
+
+        def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            cells, total = _Cells(), np.zeros((len(some), 1 << TABLE_BITS), np.int64)
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    part = batch.slice(start, 512)
+                    for text, label in zip(*(part.column(i).to_pylist() for i in range(2))):
+                        np.add.at(total[index[label]], cells.of(text or ""), 1)
+            return total.ravel()
+
+        own = rows.where(F.col("lang").isin(*some))
+        return count_table(own, count, len(some) << TABLE_BITS).reshape(len(some), -1)
+
+    groups = [names[i : i + LANGUAGES_AT_ONCE] for i in range(0, len(names), LANGUAGES_AT_ONCE)]
+    counts = np.concatenate([counts_of(g) for g in groups])
     corpus = (counts.sum(axis=0) + 0.01) / (counts.sum() + 0.01 * counts.shape[1])
     weight = 1000.0
     smoothed = (counts + weight * corpus) / (counts.sum(axis=1, keepdims=True) + weight)
@@ -151,34 +159,51 @@ def identify_languages(records: DataFrame, model: LanguageModel, html: bool) ->
     from pyspark.sql import types as T
 
     names, n = list(model.languages), len(model.languages)
-    others = [c for c in records.columns if c != "text"]
+    given = [c for c in records.columns if c != "text"]
+    out_lang, out_probability, out_text = clear_name(records.select(given), "lang", "probability", "text_lang")
     if not n:
         return records.select(
-            *others, F.lit(None).cast("string").alias("lang"),
-            F.lit(None).cast("double").alias("probability"),
-            F.lit(None).cast("string").alias("text_lang"),
+            *given, F.lit(None).cast("string").alias(out_lang),
+            F.lit(None).cast("double").alias(out_probability),
+            F.lit(None).cast("string").alias(out_text),
         )
+    # other columns travel under names of ours
+    inside = {c: f"kept_{i}" for i, c in enumerate(given) if c not in ("declared", "suffix", "host", "domain")}
+    records = records.withColumnsRenamed(inside)
+    others = [inside.get(c, c) for c in given]
     fields = [records.schema[c] for c in others]
     schema = T.StructType([*fields, T.StructField("logs", T.ArrayType(T.DoubleType()))])
     scored = records.select("text", *others).mapInArrow(_text_evidence(model, html), schema)
-    posterior = [F.get("post", F.lit(i)) for i in range(n)]
     rows = stage(scored.withColumn("post", _softmax(F.col("logs"))), "language-text")
 
+    # one row for each language, not a column: plans do not grow with the number of languages
+    where = ["host", "domain", "declared", "suffix"]
+    added = stage(
+        rows.select(*where, F.posexplode("post").alias("at", "p"))
+        .groupBy(*where, "at")
+        .agg(F.sum("p").alias("p"), F.count("*").alias("rows")),
+        "language-sums",
+    )
+
     def sums(*keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            F.array(*(F.sum(p) for p in posterior)).alias("sums"), F.count("*").alias("rows")
+        each = added.groupBy(*keys, "at").agg(F.sum("p").alias("p"), F.sum("rows").alias("rows"))
+        by_place = F.array_sort(F.collect_list(F.struct("at", "p")))
+        return each.groupBy(*keys).agg(
+            F.transform(by_place, lambda s: s["p"]).alias("sums"), F.max("rows").alias("rows")
         )
 
     everything = sums().first()
     total = max(1, everything["rows"] or 0)
-    share = [((everything["sums"][i] or 0.0) + 1.0) / (total + n) for i in range(n)]
-    shares = F.array(*(F.lit(s) for s in share))
+    share = [(s + 1.0) / (total + n) for s in everything["sums"] or [0.0] * n]
+    shares = F.array(*map(F.lit, share))
 
     def spread(df: DataFrame, key: str) -> DataFrame:
         salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
         return df.where(F.col(key).isNotNull()).withColumn("salt", F.explode(salts))
 
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
+    # with the input partition, so that equal rows are spread as well
+    spread_by = F.xxhash64(*others, F.spark_partition_id())
+    salted = rows.withColumn("salt", F.pmod(spread_by, F.lit(SALTS)).cast("int"))
     hosts = spread(sums("host", "domain"), "host").withColumnsRenamed(
         {"sums": "host_sums", "rows": "host_rows"}
     )
@@ -192,32 +217,28 @@ def identify_languages(records: DataFrame, model: LanguageModel, html: bool) ->
         seen = spread(sums(cue), cue).withColumnsRenamed({"sums": f"{cue}_sums", "rows": f"{cue}_rows"})
         joined = joined.join(seen, [cue, "salt"], "left")
 
-    def prior(i: int) -> Column:
+    def prior(i: Column) -> Column:
         """Host towards domain towards corpus, without the row's own posterior."""
-        own = F.get("post", F.lit(i))
-        domain = (F.get("domain_sums", F.lit(i)) - own + DOMAIN_WEIGHT * share[i]) / (
+        own, of_all = F.get("post", i), F.get(shares, i)
+        domain = (F.get("domain_sums", i) - own + DOMAIN_WEIGHT * of_all) / (
             F.col("domain_rows") - 1 + DOMAIN_WEIGHT
         )
-        domain = F.coalesce(domain, F.lit(share[i]))
-        host = (F.get("host_sums", F.lit(i)) - own + HOST_WEIGHT * domain) / (
+        domain = F.coalesce(domain, of_all)
+        host = (F.get("host_sums", i) - own + HOST_WEIGHT * domain) / (
             F.col("host_rows") - 1 + HOST_WEIGHT
         )
         return F.log(F.greatest(F.coalesce(host, domain), F.lit(1e-9)))
 
-    def cue(name: str, i: int) -> Column:
+    def cue(name: str, i: Column) -> Column:
         """ln P(value | language), up to a constant: P(language | value) over P(language)."""
-        own = F.get("post", F.lit(i))
-        given = (F.get(f"{name}_sums", F.lit(i)) - own + CUE_WEIGHT * share[i]) / (
+        own, of_all = F.get("post", i), F.get(shares, i)
+        given = (F.get(f"{name}_sums", i) - own + CUE_WEIGHT * of_all) / (
             F.col(f"{name}_rows") - 1 + CUE_WEIGHT
         )
-        return F.coalesce(F.log(F.greatest(given, F.lit(1e-9)) / share[i]), F.lit(0.0))
+        # greatest() passes nulls over, and a missing value is to say nothing
+        return F.when(given.isNull(), 0.0).otherwise(F.log(F.greatest(given, F.lit(1e-9)) / of_all))
 
-    fused = F.array(
-        *(
-            F.get("logs", F.lit(i)) + prior(i) + cue("declared", i) + cue("suffix", i)
-            for i in range(n)
-        )
-    )
+    fused = F.transform("logs", lambda x, i: x + prior(i) + cue("declared", i) + cue("suffix", i))
     best = lambda a: F.get(
         F.array(*map(F.lit, names)), F.array_position(a, F.array_max(a)).cast("int") - 1
     )
@@ -225,8 +246,8 @@ def identify_languages(records: DataFrame, model: LanguageModel, html: bool) ->
         joined.withColumn("fused", fused)
         .withColumn("all", _softmax(F.col("fused")))
         .select(
-            *others, best(F.col("all")).alias("lang"),
-            F.array_max("all").alias("probability"), best(F.col("post")).alias("text_lang"),
+            *(F.col(inside.get(c, c)).alias(c) for c in given), best(F.col("all")).alias(out_lang),
+            F.array_max("all").alias(out_probability), best(F.col("post")).alias(out_text),
         )
     )
 
