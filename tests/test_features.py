@@ -148,7 +148,7 @@ def test_hot_keys_do_not_change_the_matrix(spark, monkeypatch):
     assert collected(matrix.build_matrix(counts, cfg)) == sorted(
         reference_model.matrix(events, cfg), key=repr
     )
-    assert len(seen) == 3 and all(n > 0 for n in seen.values())
+    assert len(seen) == 4 and all(n > 0 for n in seen.values())
 
 
 def test_hot_keys_do_not_change_the_point_in_time_join(spark, monkeypatch):

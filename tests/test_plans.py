@@ -47,12 +47,26 @@ def test_time_range_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
 
 
-def test_matrix_shuffles_the_candidates_twice_only(spark):
-    """Once for the item features, once for the user-category features."""
+def test_matrix_deals_the_log_out_by_user_once(spark):
+    """Windows, marks and negatives read one exchange by user; the touched rows move once more, by item."""
     counts = matrix.stage_day_counts(inputs.lake(spark, SF_DIR))
-    plan = physical(matrix.build_matrix(counts, inputs.DAILY_FEATURES, labelled=False))
-    joins = [line for line in plan.splitlines() if "Join" in line and "LeftOuter" in line]
-    assert len(joins) == 3  # both of the above, and category features to items
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = matrix.build_matrix(counts, inputs.DAILY_FEATURES)
+        built.collect()
+        plan = physical(built)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    dealt = [line for line in final.splitlines() if " Exchange hashpartitioning(" in line]
+    exchanges = [line for line in dealt if "ReusedExchange" not in line]
+    by_user = [line for line in exchanges if "(user_id#" in line]
+    assert len(by_user) == 1 and "REPARTITION_BY_COL" in by_user[0]
+    assert sum("ReusedExchange [user_id" in line for line in dealt) == 1
+    # the touched rows; the item features that they meet have keys of other names
+    by_item = [line for line in exchanges if "coalesce(item_id#" in line]
+    assert len(by_item) == 1
 
 
 def test_shuffles_grow_with_the_input(spark, monkeypatch):

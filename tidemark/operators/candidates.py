@@ -71,9 +71,12 @@ def _places(popular: DataFrame) -> DataFrame:
 
 def _one_row_each(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """A row for each place in ``places_wanted``, with its item and category."""
-    entries = rows.select("user_id", "day", "event_date", F.explode("places_wanted").alias("place"))
+    others = [c for c in ("carried",) if c in rows.columns]
+    entries = rows.select(
+        "user_id", "day", "event_date", *others, F.explode("places_wanted").alias("place")
+    )
     return join_few(entries, places, ["place"], "inner", size).select(
-        "user_id", "item_id", "category_id", "day", "event_date"
+        "user_id", "item_id", "category_id", "day", "event_date", *others
     )
 
 
@@ -87,36 +90,52 @@ def offer_popular(user_days: DataFrame, popular: DataFrame) -> DataFrame:
     return _one_row_each(user_days.withColumn("places_wanted", every), _places(popular), size)
 
 
-def _touched_places(counts: DataFrame, places: DataFrame, size: int, cfg: FeatureConfig) -> DataFrame:
+def _touched_places(
+    counts: DataFrame, places: DataFrame, size: int, cfg: FeatureConfig, carried: str | None = None
+) -> DataFrame:
     """Per labelled (user, day) with a positive: the places of the popular items it touched.
 
     The state of a group is as long as what it touched, not as the list. Each place is in it once
-    however many events there are, and all of it is combined before the shuffle.
+    however many events there are, and all of it is combined before the shuffle. With ``carried`` the
+    group's different values of that column come along, once each.
     """
+    others = [carried] if carried else []
     labelled = counts.where(in_days(cfg.splits.labelled)).select(
-        "user_id", "item_id", "day", "event_date", "engaged"
+        "user_id", "item_id", "day", "event_date", "engaged", *others
     )
+    kept = (F.col("engaged") > 0) | F.col("place").isNotNull()
+    for name in others:
+        kept = kept | F.col(name).isNotNull()
     return (
         join_few(labelled, places.select("item_id", "place"), ["item_id"], "left", size)
-        .where((F.col("engaged") > 0) | F.col("place").isNotNull())
+        .where(kept)
         .groupBy("user_id", "day", "event_date")
-        .agg(F.max("engaged").alias("engaged"), F.collect_set("place").alias("touched"))
+        .agg(
+            F.max("engaged").alias("engaged"),
+            F.collect_set("place").alias("touched"),
+            *(F.collect_set(name).alias("carried") for name in others),
+        )
         .where(F.col("engaged") > 0)
     )
 
 
 def unseen_popular(
-    counts: DataFrame, popular: DataFrame, cfg: FeatureConfig, first: int | None = None
+    counts: DataFrame,
+    popular: DataFrame,
+    cfg: FeatureConfig,
+    first: int | None = None,
+    carried: str | None = None,
 ) -> DataFrame:
     """Popular items a user with a positive did not touch that day, lowest item ids first.
 
     ``counts`` has ``engaged`` per user, item and day (any finer grain works too). With ``first``
     only that many are kept per (user, day): among as many places as are wanted and touched together
-    there are enough untouched ones, so no more of the list is ever looked at.
+    there are enough untouched ones, so no more of the list is ever looked at. ``carried`` names a
+    column of ``counts`` whose values of that user and day come along as the array ``carried``.
     """
     size = popular.count()
     places = _places(popular)
-    rows = _touched_places(counts, places, size, cfg)
+    rows = _touched_places(counts, places, size, cfg, carried)
     last = F.lit(size - 1)
     if first is not None:
         last = F.least(last, F.lit(first) + F.size("touched") - 1)
@@ -126,9 +145,12 @@ def unseen_popular(
     return _one_row_each(rows.withColumn("places_wanted", unseen), places, size)
 
 
-def sample_negatives(counts: DataFrame, popular: DataFrame, cfg: FeatureConfig) -> DataFrame:
+def sample_negatives(
+    counts: DataFrame, popular: DataFrame, cfg: FeatureConfig, carried: str | None = None
+) -> DataFrame:
     """``neg_ratio`` unseen popular items per (user, day) that has a positive."""
-    return unseen_popular(counts, popular, cfg, first=cfg.neg_ratio).withColumn("label", F.lit(0))
+    found = unseen_popular(counts, popular, cfg, first=cfg.neg_ratio, carried=carried)
+    return found.withColumn("label", F.lit(0))
 
 
 def labelled_candidates(positives: DataFrame, negatives: DataFrame, splits: Splits) -> DataFrame:

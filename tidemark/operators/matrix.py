@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,8 +80,72 @@ def item_day_features(counts: DayCounts, splits: Splits) -> DataFrame:
     )
 
 
-def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool) -> DataFrame:
-    """Positives of the labelled days and all pairs of the scoring days, with features.
+def _category_history(rows: DataFrame) -> DataFrame:
+    """``rows`` of pair counts with the user-category history of their day, as ``past``.
+
+    Rows of one user, category and day see the same totals; the counts of the previous two active
+    days are those of the last row before the day, and of the last row before that one's day.
+    ``past`` is null without a user or a category.
+    """
+    key = ("user_id", "category_id")
+    spec = f"PARTITION BY {', '.join(key)} ORDER BY day RANGE BETWEEN"
+    earlier = f"({spec} UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    known = F.col("user_id").isNotNull() & F.col("category_id").isNotNull()
+    features = ("category_id", "user_cat_freq", "user_cat_eng", "lag_1", "lag_2")
+    return (
+        rows.withColumns(
+            {
+                "user_cat_freq": total_before("n", *key),
+                "user_cat_eng": total_before("engaged", *key),
+                "_day_n": F.expr(f"sum(n) OVER ({spec} CURRENT ROW AND CURRENT ROW)"),
+            }
+        )
+        .withColumn("lag_1", F.expr(f"last(_day_n) OVER {earlier}"))
+        .withColumn("lag_2", F.expr(f"last(lag_1) OVER {earlier}"))
+        .withColumn("past", F.when(known, F.struct(*features)))
+        .drop("_day_n", *features[1:])
+    )
+
+
+def _hot_category_history(rows: DataFrame) -> DataFrame:
+    """The same for rows of hot users: from counts per user, category and day, by a salted join."""
+    keys = ["user_id", "category_id", "day"]
+    per_day = stage(roll_up(rows, "user_id", "category_id"), "user-category")
+    total = per_day.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
+    history = user_category_history(per_day).dropna(subset=keys)
+    past = F.struct("category_id", "user_cat_freq", "user_cat_eng", "lag_1", "lag_2")
+    return skew_join(
+        rows,
+        history.select(*keys, past.alias("past")),
+        keys,
+        "left",
+        hot_keys(per_day, keys, "parts", total),
+        nulls_match=True,
+    )
+
+
+def _by_user(counts: DayCounts, last_day: int) -> list[DataFrame]:
+    """The pair counts with ``past``, dealt out once by user for all that is read from them by user.
+
+    The windows over a user's items and categories, and the marks per user and day, need no other
+    exchange than this one. Users (or rows without one) that are too many rows for a task are a frame
+    of their own, whose windows and marks are dealt out by their own keys.
+    """
+    pairs = counts.pairs.where(F.col("day") <= last_day)
+    spark = pairs.sparkSession
+    if not may_have_hot_keys(spark, counts.pair_rows):
+        return [_category_history(pairs.repartition("user_id"))]
+    per_user = counts.pairs.groupBy("user_id").agg(F.count("*").alias("parts"))
+    hot = stage(hot_keys(per_user, ["user_id"], "parts", counts.pair_rows), "hot-users")
+    other = hot.select(F.col("user_id").alias("_hot"), F.lit(True).alias("_is_hot"))
+    marked = pairs.join(F.broadcast(other), F.col("user_id").eqNullSafe(F.col("_hot")), "left")
+    few = marked.where("_is_hot is null").drop("_hot", "_is_hot").repartition("user_id")
+    many = marked.where("_is_hot").drop("_hot", "_is_hot")
+    return [_category_history(few), _hot_category_history(many)]
+
+
+def touched_rows(by_user: DataFrame, splits: Splits, labelled: bool, infer: bool) -> DataFrame:
+    """Positives of the labelled days and all pairs of the scoring days, with the user's history.
 
     Each such row is itself a row of the pair counts, so the user-item history is a window
     over them and no join. The pairs are distinct already, hence no ``distinct`` either.
@@ -90,13 +155,16 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
     infer_days = splits.infer if infer else ()
     wanted = (in_days(labelled_days) & (F.col("engaged") > 0)) | in_days(infer_days)
     known = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-    rows = (
-        counts.pairs.where(F.col("day") <= max(labelled_days + infer_days))
-        .withColumn("user_item_freq", F.when(known, total_before("n", "user_id", "item_id")))
+    return (
+        by_user.withColumn("user_item_freq", F.when(known, total_before("n", "user_id", "item_id")))
         .where(wanted)
         .withColumn("label", F.when(in_days(labelled_days), 1).cast("int"))
         .drop("n", "engaged")
     )
+
+
+def with_item_features(rows: DataFrame, counts: DayCounts, splits: Splits) -> DataFrame:
+    """``rows`` with the history of their item and category."""
     keys = ["item_id", "category_id", "day"]
     return skew_join(
         rows,
@@ -108,13 +176,14 @@ def touched_rows(counts: DayCounts, splits: Splits, labelled: bool, infer: bool)
     )
 
 
-def negative_rows(counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
+def negative_rows(by_user: list[DataFrame], counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
     """Sampled negatives with features.
 
     All of them are popular items, so a handful of items holds every row: a shuffle by item would send
     them to a few tasks. Their features are at most one row for each entry of the popular list and
     labelled day; ``join_few`` checks that bound. A negative was by definition not touched that day, so
-    it has no user-item history row.
+    it has no user-item history row. The history of its category is one of those that the user's other
+    rows of that day carry.
     """
     popular = stage(popular_items(counts.items, cfg.top_popular), "popular")
     size = popular.count()
@@ -131,7 +200,16 @@ def negative_rows(counts: DayCounts, cfg: FeatureConfig) -> DataFrame:
         .distinct()
     )
     categories = category_history(roll_up(of_popular("category_id"), "category_id")).where(labelled)
-    negatives = sample_negatives(counts.pairs, popular, cfg)
+    own = F.filter("carried", lambda past: past["category_id"] == F.col("category_id"))
+    negatives = reduce(
+        DataFrame.unionByName,
+        (
+            sample_negatives(rows, popular, cfg, carried="past")
+            .withColumn("past", F.get(own, F.lit(0)))
+            .drop("carried")
+            for rows in by_user
+        ),
+    )
     known = join_few(negatives, items, ["item_id", "day"], "left", features)
     return join_few(known, categories, ["category_id", "day"], "left", features).withColumn(
         "user_item_freq", F.lit(0).cast("long")
@@ -143,25 +221,20 @@ def build_matrix(
 ) -> DataFrame:
     """The feature matrix of the labelled splits, the scoring split, or both.
 
-    The user-category join comes last, once, for positives, negatives and scoring rows
-    together. Its counts are staged when the data is large enough for a user to hold a hot
-    share of one category and day.
+    Two exchanges carry rows of the log: the pair counts by user, read by the touched rows and by the
+    negatives, and the touched rows by item for the features of items and categories.
     """
     splits = cfg.splits
-    rows = touched_rows(counts, splits, labelled, infer)
-    if labelled:
-        rows = rows.unionByName(negative_rows(counts, cfg))
-    used = splits.used if infer else splits.labelled
-    per_user_category = roll_up(
-        counts.pairs.where(F.col("day") <= max(used)), "user_id", "category_id"
+    days = (splits.labelled if labelled else ()) + (splits.infer if infer else ())
+    by_user = _by_user(counts, max(days))
+    touched = reduce(
+        DataFrame.unionByName, (touched_rows(rows, splits, labelled, infer) for rows in by_user)
     )
-    if may_have_hot_keys(counts.pairs.sparkSession, counts.pair_rows):
-        per_user_category = stage(per_user_category, "user-category")
-    keys = ["user_id", "category_id", "day"]
-    history = user_category_history(per_user_category).where(in_days(used)).dropna(subset=keys)
-    hot = hot_keys(per_user_category, keys, "parts", counts.pair_rows)
+    rows = with_item_features(touched, counts, splits)
+    if labelled:
+        rows = rows.unionByName(negative_rows(by_user, counts, cfg))
     return (
-        skew_join(rows, history, keys, "left", hot, nulls_match=True)
+        rows.withColumns({c: F.col("past")[c] for c in ("user_cat_freq", "user_cat_eng", "lag_1", "lag_2")})
         .withColumn("split", split_label(splits))
         .select(*MATRIX_KEYS, *feature_columns(cfg.epsilon))
         .select(*MATRIX_COLS)
