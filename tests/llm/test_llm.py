@@ -156,6 +156,23 @@ def test_pieces_encode_as_whole_texts():
         assert np.frombuffer(ids, "<u2").tolist() == want
 
 
+def test_encoder_bounds_its_memory_by_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_files, "CACHE_BYTES", 20_000)
+    monkeypatch.setattr(token_files, "LONG_PIECE", 12)
+    whole, own = Tokenizer.from_file(path), token_files.Encoder(open(path).read(), "<u2")
+    texts = [prose(i, 60) + " " + "語" * (i % 40) + " " + prose(i % 7, 5) for i in range(300)]
+    for at in range(0, 300, 10):
+        want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts[at : at + 10]]
+        assert own.ids(texts[at : at + 10]) == want
+        for held in (own._young, own._old):
+            assert sum(token_files.ENTRY_BYTES + 4 * len(p) for p in held) < 20_000 + 10 * 70 * 300
+            assert all(len(p) <= 12 for p in held)
+    assert own._old
+
+
 def test_token_files_round_trip(spark, docs, rows, tmp_path):
     from tokenizers import Tokenizer
 

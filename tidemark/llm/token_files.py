@@ -32,8 +32,12 @@ BLOCK_TOKENS = 1 << 19
 SAMPLE = 256
 # Input bytes for each range of document ids, one task each.
 RANGE_BYTES = 32 << 20
-# Pieces of text whose ids a worker remembers, and the bytes of text it encodes at once.
-CACHE_PIECES = 700_000
+# Bytes that one of the two generations of remembered pieces may take in a worker, about what an entry
+# takes besides its text, and the characters beyond which a piece is not remembered.
+CACHE_BYTES = 144 << 20
+ENTRY_BYTES = 180
+LONG_PIECE = 256
+# Bytes of text encoded at once.
 GROUP_BYTES = 1 << 20
 
 _HEAD = "<QQBQQ"
@@ -105,8 +109,9 @@ class Encoder:
     looks at nothing before it; so a text may be cut there without changing its ids. A piece that
     touches further white space is not cut off.
 
-    The memory has two generations of ``CACHE_PIECES`` each: a full one becomes the old one, from
-    which pieces that are met again come back.
+    The memory has two generations of ``CACHE_BYTES`` each: a full one becomes the old one, from
+    which pieces that are met again come back. Pieces of more than ``LONG_PIECE`` characters, such as
+    whole texts of a script without spaces, are encoded anew each time.
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -119,6 +124,7 @@ class Encoder:
         self._tokenizer, self._dtype = Tokenizer.from_str(definition), dtype
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces without the space before them; the first is marked by a space it has not."""
@@ -132,22 +138,29 @@ class Encoder:
         return [np.array(e.ids, self._dtype).tobytes() for e in found]
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self._young) + len(pieces) > CACHE_PIECES:
-            self._old, self._young = self._young, {}
         unknown = pieces.difference(self._old)
         self._young.update((p, self._old[p]) for p in pieces - unknown)
         asked = list(unknown)
         self._young.update(zip(asked, self._encode(asked)))
+        # some four bytes for a character, as text and as ids
+        self._held += ENTRY_BYTES * len(pieces) + 4 * sum(map(len, pieces))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [self._pieces(t) if t else [] for t in texts]
         pieces = set().union(*split)
         missing = pieces.difference(self._young)
+        long = [p for p in missing if len(p) > LONG_PIECE]
+        missing.difference_update(long)
+        if missing and self._held > CACHE_BYTES:
+            # the full generation is put away, and then all pieces are asked of it
+            self._old, self._young, self._held = self._young, {}, 0
+            missing = pieces.difference(long)
         if missing:
-            # a full generation is put away, and then all pieces are asked of it
-            full = len(self._young) + len(missing) > CACHE_PIECES
-            self._learn(pieces if full else missing)
-        return [b"".join(map(self._young.__getitem__, p)) for p in split]
+            self._learn(missing)
+        known = self._young
+        if long:
+            known = {**dict(zip(long, self._encode(long))), **{p: known[p] for p in pieces.difference(long)}}
+        return [b"".join(map(known.__getitem__, p)) for p in split]
 
 
 def _block(part: int, seq: int, docs: list, ids: list[bytes], dtype: str) -> dict:
