@@ -412,6 +412,18 @@ def test_maximal_segments_equal_brute_force():
         assert [s[:2] for s in toxicity.maximal_segments(hits, gains, 0.4)] == best(0, 40)
 
 
+def test_toxicity_fits_each_labelled_id_once(spark, monkeypatch):
+    fitted, fit = [], toxicity._fit_logistic
+    monkeypatch.setattr(toxicity, "_fit_logistic", lambda x, y: fitted.append(len(x)) or fit(x, y))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, prose(i, 20) + (" slur" if i % 2 else "")) for i in range(60)]
+    again = [(ids[0], prose(900 + j, 30)) for j in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    for docs in (rows, rows + again):
+        toxicity.fit_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    assert fitted == [len(ids)] * 2
+
+
 def test_toxicity_learns_and_leaves_clean_rows(spark):
     rng = np.random.default_rng(3)
     rows, labels = [], []

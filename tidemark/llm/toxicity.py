@@ -191,20 +191,22 @@ def _seen(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[p
     """Evidence of labelled rows, and the best raw score and length for the fit of K."""
     cells = _Cells()
     for batch in batches:
-        out = []
-        for text, toxic in zip(*(batch.column(i).to_pylist() for i in range(2))):
+        lengths, segments = [], []
+        for text in batch.column(1).to_pylist():
             own = cells.of(text or "")
             hits = np.flatnonzero(model.scores[own] > 0) if len(own) else np.zeros(0, np.int64)
             gains = model.scores[own[hits]] - COST if len(hits) else hits
-            segments = maximal_segments(hits.tolist(), gains.tolist(), COST)
-            out.append((toxic, len(own), [s for _, _, s in segments]))
+            found = maximal_segments(hits.tolist(), gains.tolist(), COST)
+            lengths.append(len(own))
+            segments.append([s for _, _, s in found])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([o[0] for o in out], pa.bool_()),
-                pa.array([o[1] for o in out], pa.int64()),
-                pa.array([o[2] for o in out], pa.list_(pa.float64())),
+                batch.column(0),
+                pa.array(lengths, pa.int64()),
+                pa.array(segments, pa.list_(pa.float64())),
+                batch.column(2),
             ],
-            names=["toxic", "n", "segments"],
+            names=["id", "n", "segments", "toxic"],
         )
 
 
@@ -215,7 +217,11 @@ def fit_toxicity(
     text_col: str = "text",
     label_rows: int = LABEL_ROWS,
 ) -> ToxicityModel:
-    """Learn from ``labels`` (doc_id, toxic) of rows that are not held out."""
+    """Learn from ``labels`` (doc_id, toxic) of rows that are not held out.
+
+    Counts are over all rows. The evidence is weighed once for each labelled id: of rows that share one,
+    the shortest counts (of equally long ones that with the smaller segments).
+    """
     texts = docs.select(
         F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("_label_id")
     )
@@ -229,13 +235,12 @@ def fit_toxicity(
     background = (clean + prior) / max(1.0, clean.sum() + prior.sum())
     scale = _scale(scores, background)
     raw = ToxicityModel(scores, scale, 0.0, 0.0, 0.0)
-    # at most ``label_rows`` rows of a few numbers
-    seen = (
-        texts.join(known, "_label_id")
-        .select("text", "_toxic")
-        .mapInArrow(lambda it: _seen(it, raw), "toxic boolean, n long, segments array<double>")
-        .collect()
+    # at most ``label_rows`` ids of a few numbers, in their order so that reruns fit alike
+    found = texts.join(known, "_label_id").select("_label_id", "text", "_toxic").mapInArrow(
+        lambda it: _seen(it, raw), "id long, n long, segments array<double>, toxic boolean"
     )
+    one = found.groupBy("id").agg(F.min(F.struct("n", "segments", "toxic")).alias("one"))
+    seen = [r["one"] for r in sorted(one.collect(), key=lambda r: r["id"])]
     n_toxic = sum(r["toxic"] for r in seen)
     if not n_toxic or n_toxic == len(seen):
         share_toxic = (n_toxic + 0.5) / (len(seen) + 1)
