@@ -212,3 +212,18 @@ def test_command_line(spark, roots, trained, tmp_path):
     assert done["users"] > 0 and 1 <= len(answer["recommended_items"]) <= 2
     with pytest.raises(SystemExit):
         run(spark, ["lookup", "--results", results, "--user", "-5"])
+
+
+def test_rows_of_one_file_are_dealt_to_several_tasks(spark, roots, monkeypatch):
+    """A split may be one file, which one task would read in each round."""
+    parts = []
+    plain = model.DecisionTreeRegressor.fit
+    monkeypatch.setattr(
+        model.DecisionTreeRegressor, "fit",
+        lambda self, rows: parts.append((rows.rdd.getNumPartitions(), rows.is_cached)) or plain(self, rows),
+    )
+    monkeypatch.setattr(model, "LEAST_TASK_BYTES", 1)
+    train, val = (read_split(spark, roots["matrices"], s).coalesce(1) for s in ("train", "val"))
+    _, losses = model.train_gbt(train, val, TrainConfig(max_rounds=2, rounds_per_table=1))
+    assert parts == [(spark.sparkContext.defaultParallelism, True)] * 2
+    assert len(losses) == 2 and losses[1] < losses[0]

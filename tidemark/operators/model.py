@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FEATURE_COLS, TrainConfig
 from tidemark.operators.trees import Forest, Tree, nodes_of
-from tidemark.session import stage
+from tidemark.session import input_bytes, stage
+
+# Stored bytes of training rows that a task of each round has: the least that is worth a task, and the
+# most. In between the rows are dealt to as many tasks as the cluster runs at a time.
+LEAST_TASK_BYTES = 256 << 10
+MOST_TASK_BYTES = 32 << 20
 
 
 def assemble_features(matrix: DataFrame) -> DataFrame:
@@ -23,6 +29,13 @@ def _training_rows(matrix: DataFrame) -> DataFrame:
     return matrix.select(*FEATURE_COLS, sign.alias("sign"), F.lit(0.0).alias("margin"))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows in as many parts as training has tasks; a split may be one file, which one task reads."""
+    size, cores = input_bytes(rows), rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(-(-size // LEAST_TASK_BYTES), cores), -(-size // MOST_TASK_BYTES))
+    return rows.repartition(parts) if parts > 1 else rows
+
+
 def _residual(rounds: int) -> Column:
     """What the next tree learns: the signs first, then the downhill slope of the loss."""
     if rounds == 0:
@@ -57,9 +70,10 @@ def train_gbt(
     Returns the trees up to the best round and the loss of every round. No round is fitted twice: the
     margins of all rows are carried along and written down every ``rounds_per_table`` rounds, so that
     neither the lineage nor the expressions grow, and each tree is grown on what the margins leave over.
+    The rows are dealt out first, and a round's learned rows are worked out once.
     """
-    rows = stage(_training_rows(train), "boost-rows")
-    held_out = stage(_training_rows(validation), "boost-held-out")
+    rows = stage(_dealt(_training_rows(train)), "boost-rows")
+    held_out = stage(_dealt(_training_rows(validation)), "boost-held-out")
     trees: list[Tree] = []
     losses: list[float] = []
     while len(trees) < cfg.max_rounds:
@@ -67,7 +81,12 @@ def train_gbt(
             featuresCol="features", labelCol="residual", maxDepth=cfg.max_depth, seed=cfg.seed
         )
         learned = assemble_features(rows.withColumn("residual", _residual(len(trees))))
-        fitted = learner.fit(learned.select("features", "residual"))
+        # the fit reads its rows three times before it keeps them in its own form
+        learned = learned.select("features", "residual").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted = learner.fit(learned)
+        finally:
+            learned.unpersist()
         tree = Tree(cfg.step_size if trees else 1.0, nodes_of(fitted, FEATURE_COLS))
         trees.append(tree)
         margin = F.col("margin") + tree.column()
