@@ -173,6 +173,55 @@ def test_encoder_bounds_its_memory_by_bytes(monkeypatch):
     assert own._old
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def __getattr__(self, name):
+        def call(texts, **options):
+            self.texts += len(texts)
+            return getattr(self.tokenizer, name)(texts, **options)
+
+        return call
+
+
+def test_new_pieces_are_encoded_together():
+    """One call of the tokenizer for many pieces; pieces whose ends are in doubt are encoded alone."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, whole = token_files.Encoder(open(path).read(), "<u2"), Tokenizer.from_file(path)
+    text = " ".join(f"{w}{i}" for i, w in enumerate(WORDS)) + " \u0120 a\u0120b x<|endoftext|>y é\n語"
+    want = np.array(whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    own._tokenizer = counted = Counted(own._tokenizer)
+    assert own.ids([text]) == [want]
+    assert counted.texts < 20
+    other = token_files.Encoder(open(path).read(), "<u2")
+    other._spaced[:] = False
+    assert other.ids([text]) == [want]
+
+
+def test_idle_workers_forget_their_encoder(spark, docs, tmp_path, monkeypatch):
+    from tidemark.llm import common
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_token_files(docs, str(tmp_path / "idle"), path)
+
+    def held(batches):
+        import sys
+        import time
+
+        time.sleep(token_files.IDLE_SECONDS + 1)
+        count = len(sys.__dict__.get("_tidemark_encoders", {}))
+        for batch in batches:
+            yield common.pa.RecordBatch.from_pydict({"n": [count]})
+
+    rows = spark.range(8).repartition(8).mapInArrow(held, "n long").collect()
+    assert {r["n"] for r in rows} == {0}
+
+
 def test_token_files_round_trip(spark, docs, rows, tmp_path):
     from tokenizers import Tokenizer
 

@@ -17,8 +17,10 @@ import os
 import re
 import struct
 import sys
+import threading
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,11 @@ RANGE_BYTES = 32 << 20
 CACHE_BYTES = 144 << 20
 ENTRY_BYTES = 180
 LONG_PIECE = 256
+# How a byte-level vocabulary writes a space, and how many new pieces are encoded as one text.
+SPACE = "\u0120"
+TOGETHER = 64
+# Seconds after a task until an idle worker forgets its encoder: other stages have use for the memory.
+IDLE_SECONDS = 5
 # Bytes of text encoded at once.
 GROUP_BYTES = 1 << 20
 
@@ -115,33 +122,74 @@ class Encoder:
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
-    _WIDE = re.compile(r"\s\s|^ | $")
+    _SPACES = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
 
     def __init__(self, definition: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._dtype = Tokenizer.from_str(definition), dtype
+        self._tokenizer = Tokenizer.from_str(definition)
+        self._dtype, self._width = dtype, np.dtype(dtype).itemsize
+        self._code = next(code for code in "HIL" if array(code).itemsize == self._width)
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._held = 0
 
+    def _wide(self, text: str) -> bool:
+        """Whether a space is at an end of the text or touches further white space."""
+        if text[0] == " " or text[-1] == " ":
+            return True
+        # searches for single characters are much faster than an expression for all of them
+        found = [c for c in self._SPACES if c in text]
+        return any(" " + c in text or c + " " in text for c in found)
+
     def _pieces(self, text: str) -> list[str]:
         """Pieces without the space before them; the first is marked by a space it has not."""
-        pieces = self._CUT.split(text) if self._WIDE.search(text) else text.split(" ")
+        pieces = self._CUT.split(text) if self._wide(text) else text.split(" ")
         pieces[0] = " " + pieces[0]
         return pieces
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+    def _alone(self, pieces: list[str]) -> list[bytes]:
         texts = [p[1:] if p[0] == " " else " " + p for p in pieces]
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self._dtype).tobytes() for e in found]
+        # the fast form leaves out the places of the tokens in the text, which nobody asks for
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [self._packed(e.ids) for e in found]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self._code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _encode(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Ids of each piece; pieces without a space are encoded ``TOGETHER``, for the calls' sake.
+
+        The only tokens that begin with a space are then the first ones of each piece. Where they are
+        not as many as the pieces, these are encoded one by one.
+        """
+        apart, plain = [], []
+        for p in pieces:
+            (apart if " " in p else plain).append(p)
+        out = dict(zip(apart, self._alone(apart)))
+        groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        texts = [" " + " ".join(group) for group in groups]
+        for group, found in zip(groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            packed = self._packed(found.ids)
+            firsts = np.flatnonzero(self._spaced[np.frombuffer(packed, self._dtype)])
+            if len(firsts) == len(group):
+                ends = [*(firsts * self._width).tolist(), len(packed)]
+                out.update((p, packed[i:j]) for p, i, j in zip(group, ends, ends[1:]))
+            else:
+                out.update(zip(group, self._alone(group)))
+        return out
 
     def _learn(self, pieces: set[str]) -> None:
         unknown = pieces.difference(self._old)
         self._young.update((p, self._old[p]) for p in pieces - unknown)
-        asked = list(unknown)
-        self._young.update(zip(asked, self._encode(asked)))
+        self._young.update(self._encode(unknown))
         # some four bytes for a character, as text and as ids
         self._held += ENTRY_BYTES * len(pieces) + 4 * sum(map(len, pieces))
 
@@ -159,7 +207,7 @@ class Encoder:
             self._learn(missing)
         known = self._young
         if long:
-            known = {**dict(zip(long, self._encode(long))), **{p: known[p] for p in pieces.difference(long)}}
+            known = {**self._encode(long), **{p: known[p] for p in pieces.difference(long)}}
         return [b"".join(map(known.__getitem__, p)) for p in split]
 
 
@@ -198,13 +246,15 @@ def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tu
 
 def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one encoder for the life of the worker, whatever task it runs
+        # one encoder for all tasks that a worker runs without a longer pause
         encoders = sys.__dict__.setdefault("_tidemark_encoders", {})
+        if waiting := encoders.pop("waiting", None):
+            waiting.cancel()
         key = (zlib.crc32(definition.value.encode()), dtype)
-        if key not in encoders:
+        encoder, part, seq = encoders.get(key), TaskContext.get().partitionId(), 0
+        if encoder is None:
             encoders.clear()
-            encoders[key] = Encoder(definition.value, dtype)
-        encoder, part, seq = encoders[key], TaskContext.get().partitionId(), 0
+            encoder = encoders[key] = Encoder(definition.value, dtype)
         end = np.array([end_id], dtype).tobytes()
         docs, ids, held, most = [], [], 0, BLOCK_TOKENS * len(end)
 
@@ -221,6 +271,9 @@ def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema):
             held += len(encoded)
         if docs:
             yield flush()
+        encoders["waiting"] = waiting = threading.Timer(IDLE_SECONDS, encoders.clear)
+        waiting.daemon = True
+        waiting.start()
 
     return write
 
