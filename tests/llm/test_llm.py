@@ -631,3 +631,18 @@ def test_pipeline_equals_its_stages_and_brute_force(spark):
     assert abs(sum(len(t.split()) for _, t in kept[3]) - 1.5 * words) < 0.1 * words
     tokens = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r["doc_id"] for r in tokens) == sorted(i for i, _ in kept[3])
+
+
+def test_fragments_are_handed_on_in_small_batches(monkeypatch):
+    """A task holds ``KEYS_HELD`` n-grams and one text, whatever its rows hold together."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "KEYS_HELD", 500)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(40)), "text": [prose(i, 100) for i in range(40)]})
+    classes = bytes(1 << ngram_join.TABLE_BITS)
+    found = list(ngram_join._fragment_writer(3, classes)(iter([batch])))
+    sizes = [sum(map(len, b.column(2).to_pylist())) for b in found]
+    assert max(sizes) <= 500 + 100 and sum(sizes) >= 40 * 95
+    counts = ngram_join._counter(3)(iter([batch]))
+    monkeypatch.setattr(ngram_join, "KEYS_HELD", 1 << 30)
+    assert (counts == ngram_join._counter(3)(iter([batch]))).all() and counts.sum() == 40 * 98

@@ -59,6 +59,9 @@ BLOCK = 1024
 PAIRS_PER_ROW = 2
 STAR_ROUNDS = 4
 
+# N-grams of eight bytes that a task of a counter or of fragments holds before it hands them on.
+KEYS_HELD = 1 << 18
+
 # Rows whose sets are handed back at a time.
 ROWS_OUT = 1024
 
@@ -76,7 +79,7 @@ def _counter(k: int):
                 # repeats within a text count too: only the rough order matters
                 found.append(_bucket(shingles(hashes.array(text.lower().split()), k)))
                 held += len(found[-1])
-                if held > 1 << 21:
+                if held > KEYS_HELD:
                     total += np.bincount(np.concatenate(found), minlength=len(total))
                     found, held = [], 0
         if found:
@@ -166,7 +169,7 @@ def _fragment_writer(k: int, classes: bytes):
                         fragments.append(f)
                         parts.append(keys[a:b].view(np.int64))
                 held += len(keys)
-                if held > 1 << 20:
+                if held > KEYS_HELD:
                     yield _fragments(nodes, fragments, parts)
                     nodes, fragments, parts, held = [], [], [], 0
             yield _fragments(nodes, fragments, parts)
