@@ -203,6 +203,52 @@ def test_new_pieces_are_encoded_together():
     assert other.ids([text]) == [want]
 
 
+class Asked(dict):
+    """A memory that counts how often it is asked."""
+
+    times = 0
+
+    def __getitem__(self, key):
+        self.times += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        self.times += 1
+        return super().get(key, default)
+
+
+def test_a_repeated_piece_is_looked_up_once_for_many_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, whole = token_files.Encoder(open(path).read(), "<u2"), Tokenizer.from_file(path)
+    own._young = asked = Asked()
+    texts = ["sea of sand " * 300 + "end", "", "sand  of the\nsea " * 200, "sea"]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert own.ids(texts) == want
+    assert asked.times < 50
+
+
+def test_the_encoder_is_handed_small_batches(spark, tmp_path, monkeypatch):
+    path, out = public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "batches")
+
+    def writer(definition, dtype, end_id, arrow):
+        def write(batches):
+            for seq, batch in enumerate(batches):
+                none = dict.fromkeys(arrow.names)
+                yield token_files.pa.RecordBatch.from_pylist([{**none, "seq": seq, "n_docs": batch.num_rows}], arrow)
+
+        return write
+
+    monkeypatch.setattr(token_files, "_writer", writer)
+    rows = spark.range(3000).selectExpr("1L as doc_id", "'a b' as text").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    token_files.write_token_files(rows, out, path)
+    sizes = [r["n_docs"] for r in spark.read.parquet(out).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 512
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_idle_workers_forget_their_encoder(spark, docs, tmp_path, monkeypatch):
     from tidemark.llm import common
 

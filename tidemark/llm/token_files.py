@@ -24,11 +24,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import partitions_for, text_rows
+from tidemark.llm.common import arrow_batches_of, partitions_for, text_rows
 
 BLOCK_TOKENS = 1 << 19
 SAMPLE = 256
@@ -36,7 +37,7 @@ SAMPLE = 256
 RANGE_BYTES = 32 << 20
 # Bytes that one of the two generations of remembered pieces may take in a worker, about what an entry
 # takes besides its text, and the characters beyond which a piece is not remembered.
-CACHE_BYTES = 144 << 20
+CACHE_BYTES = 64 << 20
 ENTRY_BYTES = 180
 LONG_PIECE = 256
 # How a byte-level vocabulary writes a space, and how many new pieces are encoded as one text.
@@ -44,8 +45,9 @@ SPACE = "\u0120"
 TOGETHER = 64
 # Seconds after a task until an idle worker forgets its encoder: other stages have use for the memory.
 IDLE_SECONDS = 5
-# Bytes of text encoded at once.
-GROUP_BYTES = 1 << 20
+# Rows that a worker is handed at a time, and bytes of text encoded at once.
+ROWS_IN = 512
+GROUP_BYTES = 4 << 20
 
 _HEAD = "<QQBQQ"
 
@@ -146,11 +148,16 @@ class Encoder:
         found = [c for c in self._SPACES if c in text]
         return any(" " + c in text or c + " " in text for c in found)
 
-    def _pieces(self, text: str) -> list[str]:
-        """Pieces without the space before them; the first is marked by a space it has not."""
-        pieces = self._CUT.split(text) if self._wide(text) else text.split(" ")
-        pieces[0] = " " + pieces[0]
-        return pieces
+    def _pieces(self, text: str) -> tuple[str, str | list[str] | None]:
+        """The first piece, marked by a space it has not, and the others without the space before them.
+
+        These are still one string where every space in it is a cut.
+        """
+        if self._wide(text):
+            first, *rest = self._CUT.split(text)
+        else:
+            first, _, rest = text.partition(" ")
+        return " " + first, rest or None
 
     def _alone(self, pieces: list[str]) -> list[bytes]:
         texts = [p[1:] if p[0] == " " else " " + p for p in pieces]
@@ -193,22 +200,45 @@ class Encoder:
         # some four bytes for a character, as text and as ids
         self._held += ENTRY_BYTES * len(pieces) + 4 * sum(map(len, pieces))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) if t else [] for t in texts]
-        pieces = set().union(*split)
-        missing = pieces.difference(self._young)
-        long = [p for p in missing if len(p) > LONG_PIECE]
-        missing.difference_update(long)
+    def _found(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces, from the memory where they are in it."""
+        found = list(map(self._young.get, pieces))
+        missing = [p for p, ids in zip(pieces, found) if ids is None and len(p) <= LONG_PIECE]
         if missing and self._held > CACHE_BYTES:
             # the full generation is put away, and then all pieces are asked of it
             self._old, self._young, self._held = self._young, {}, 0
-            missing = pieces.difference(long)
+            missing = [p for p in pieces if len(p) <= LONG_PIECE]
         if missing:
-            self._learn(missing)
-        known = self._young
+            self._learn(set(missing))
+            found = list(map(self._young.get, pieces))
+        long = [p for p, ids in zip(pieces, found) if ids is None]
         if long:
-            known = {**self._encode(long), **{p: known[p] for p in pieces.difference(long)}}
-        return [b"".join(map(known.__getitem__, p)) for p in split]
+            alone = self._encode(long)
+            found = [alone[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        return found
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Arrow splits them, finds their different pieces and lays out the ids."""
+        split = [self._pieces(t) if t else None for t in texts]
+        firsts = [s[0] if s else None for s in split]
+        plain = [s[1] if s and isinstance(s[1], str) else None for s in split]
+        wide = [s[1] if s and isinstance(s[1], list) else None for s in split]
+        text = pa.large_string()
+        columns = [
+            pa.array([[f] if f else None for f in firsts], pa.list_(text)),
+            pc.split_pattern(pa.array(plain, text), " "),
+            pa.array(wide, pa.list_(text)),
+        ]
+        pieces = pa.concat_arrays([c.flatten() for c in columns]).dictionary_encode()
+        known = self._found(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(pieces.indices)
+        data, places = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], np.int64)
+        parts, before = [], 0
+        for column in columns:
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0))]) + before
+            bounds, before = places[ends].tolist(), int(ends[-1])
+            parts.append([data[i:j] for i, j in zip(bounds, bounds[1:])])
+        return [b"".join(p) for p in zip(*parts)]
 
 
 def _block(part: int, seq: int, docs: list, ids: list[bytes], dtype: str) -> dict:
@@ -307,13 +337,14 @@ def write_token_files(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")
     )
-    (
+    blocks = (
         rows.repartitionByRange(partitions_for(docs, RANGE_BYTES), "doc")
         .sortWithinPartitions("doc", "text")
         .mapInArrow(_writer(shared, dtype, end_id, _arrow_schema()), BLOCK_SCHEMA)
-        .write.option("parquet.block.size", 16 << 20)
-        .parquet(path)
     )
+    # a batch is held by Spark and by the worker, beside the worker's memory of pieces
+    with arrow_batches_of(spark, ROWS_IN):
+        blocks.write.option("parquet.block.size", 16 << 20).parquet(path)
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
