@@ -692,3 +692,27 @@ def test_fragments_are_handed_on_in_small_batches(monkeypatch):
     counts = ngram_join._counter(3)(iter([batch]))
     monkeypatch.setattr(ngram_join, "KEYS_HELD", 1 << 30)
     assert (counts == ngram_join._counter(3)(iter([batch]))).all() and counts.sum() == 40 * 98
+
+
+def test_whole_texts_are_handed_over_in_small_batches(spark, docs, monkeypatch):
+    from tidemark.llm import common
+
+    key, taken = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    stage = ngram_join.stage
+
+    def noted(df, name):
+        taken[name] = int(spark.conf.get(key))
+        return stage(df, name)
+
+    def large(batches):
+        # 64 counters: rows, then batches beyond the bound
+        sizes = [b.num_rows for b in batches]
+        return np.array([sum(sizes), sum(n > 1024 for n in sizes)] + [0] * 62, np.int64)
+
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    ngram_join.ngram_jaccard_join(docs).collect()
+    assert taken["ngram-sets"] <= 1024 and taken["ngram-fragments-0"] <= 1024
+    counts = common.count_table(spark.range(5000).coalesce(1), large, 64)
+    assert counts[0] == 5000 and counts[1] == 0
+    assert spark.conf.get(key) == before

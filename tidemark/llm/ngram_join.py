@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, count_table, mix, shingles, text_rows
+from tidemark.llm.common import TEXT_ROWS, WordHashes, arrow_batches_of, count_table, mix, shingles, text_rows
 from tidemark.llm.components import components
 from tidemark.session import stage
 
@@ -308,13 +308,12 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
     classes = frequency_classes(texts, k)
-    sets = stage(
-        texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
-            _set_writer(k, percent, classes),
-            "id long, text_key long, n long, node long, check long, prefix array<long>, bits array<long>",
-        ),
-        "ngram-sets",
+    rows = texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _set_writer(k, percent, classes),
+        "id long, text_key long, n long, node long, check long, prefix array<long>, bits array<long>",
     )
+    with arrow_batches_of(docs.sparkSession, TEXT_ROWS):
+        sets = stage(rows, "ngram-sets")
     named = sets.where("n > 0 and id is not null").groupBy("node", "n", "check")
     nodes = stage(
         named.agg(F.min("id").alias("class_id"), F.first("bits").alias("bits")), "ngram-nodes"
@@ -338,7 +337,8 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
             .mapInArrow(_fragment_writer(k, classes), "node long, fragment int, grams array<long>")
             .dropDuplicates(["node", "fragment"])
         )
-        fragments = stage(fragments, f"ngram-fragments-{turn}")
+        with arrow_batches_of(docs.sparkSession, TEXT_ROWS):
+            fragments = stage(fragments, f"ngram-fragments-{turn}")
         return stage(_overlaps(pairs, fragments, percent), f"ngram-links-{turn}")
 
     return sets, nodes, posts, verified
