@@ -12,6 +12,7 @@ from tidemark.operators import history, matrix
 from tidemark.operators.days import day_index, with_day
 from tidemark.operators.ingest import in_window
 from tidemark.registry import inputs
+from tidemark.session import stage
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -88,6 +89,37 @@ def test_shuffles_grow_with_the_input(spark, monkeypatch):
     assert spark.conf.get(key) == before
 
 
+def test_partitions_of_a_job_are_not_merged_below_what_fits_its_input(spark, monkeypatch):
+    """Compressed blocks say little about the rows that a sort holds."""
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", os.path.getsize(f"{SF_DIR}/lineitem.parquet") // 50)
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(smallest, "1")
+    try:
+        with session.sized_for(lines):
+            assert lines.select("l_orderkey").repartition("l_orderkey").rdd.getNumPartitions() > 24
+        assert lines.select("l_orderkey").repartition("l_orderkey").rdd.getNumPartitions() <= 8
+    finally:
+        spark.conf.unset(smallest)
+
+
+def test_users_are_read_once_when_none_is_hot(spark, monkeypatch):
+    """With many rows but no hot user there is no second frame of hot users' rows."""
+    key = "spark.tidemark.hotRows"
+    spark.conf.set(key, "500")
+    try:
+        rows = [(u, i, i % 3, d, None, 1, 1) for u in range(40) for i in range(10) for d in (1, 2)]
+        schema = "user_id long, item_id long, category_id long, day long, event_date date, n long, engaged long"
+        pairs = stage(spark.createDataFrame(rows, schema), "pairs")
+        counts = matrix.DayCounts(pairs, pairs, len(rows) * 1000, len(rows))
+        assert matrix.may_have_hot_keys(spark, counts.pair_rows)
+        assert len(matrix._by_user(counts, 2)) == 1
+        hot = matrix.DayCounts(pairs.withColumn("user_id", F.lit(1)), pairs, len(rows), len(rows))
+        assert len(matrix._by_user(hot, 2)) == 2
+    finally:
+        spark.conf.unset(key)
+
+
 def test_joins_in_a_job_are_hashed_when_the_small_side_is_small(spark):
     """Measured at run time: with a zero threshold the same join is sort-merge."""
     left = spark.range(20000).select((F.col("id") % 500).alias("k"), "id").repartition(8, "id")

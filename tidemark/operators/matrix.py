@@ -137,6 +137,8 @@ def _by_user(counts: DayCounts, last_day: int) -> list[DataFrame]:
         return [_category_history(pairs.repartition("user_id"))]
     per_user = counts.pairs.groupBy("user_id").agg(F.count("*").alias("parts"))
     hot = stage(hot_keys(per_user, ["user_id"], "parts", counts.pair_rows), "hot-users")
+    if hot.isEmpty():
+        return [_category_history(pairs.repartition("user_id"))]
     other = hot.select(F.col("user_id").alias("_hot"), F.lit(True).alias("_is_hot"))
     marked = pairs.join(F.broadcast(other), F.col("user_id").eqNullSafe(F.col("_hot")), "left")
     few = marked.where("_is_hot is null").drop("_hot", "_is_hot").repartition("user_id")
