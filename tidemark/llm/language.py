@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CACHE_WORDS, clear_name, count_table
+from tidemark.llm.common import CACHE_WORDS, TEXT_ROWS, arrow_batches_of, clear_name, count_table, give_back
 from tidemark.session import stage
 
 TABLE_BITS = 18
@@ -120,6 +120,7 @@ def _text_evidence(model: LanguageModel, html: bool):
                 [*batch.columns[1:], pa.ListArray.from_arrays(ends, flat)],
                 names=[*batch.schema.names[1:], "logs"],
             )
+        give_back()
 
     return score
 
@@ -174,7 +175,8 @@ def identify_languages(records: DataFrame, model: LanguageModel, html: bool) ->
     fields = [records.schema[c] for c in others]
     schema = T.StructType([*fields, T.StructField("logs", T.ArrayType(T.DoubleType()))])
     scored = records.select("text", *others).mapInArrow(_text_evidence(model, html), schema)
-    rows = stage(scored.withColumn("post", _softmax(F.col("logs"))), "language-text")
+    with arrow_batches_of(records.sparkSession, TEXT_ROWS):
+        rows = stage(scored.withColumn("post", _softmax(F.col("logs"))), "language-text")
 
     # one row for each language, not a column: plans do not grow with the number of languages
     where = ["host", "domain", "declared", "suffix"]
