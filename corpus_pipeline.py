@@ -17,6 +17,8 @@ from tidemark.session import scratch_path
 # Word shingles of near duplicates: five words, similarity 0.8 or more.
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
+# Memory of pieces for the token stage, which runs beside what the stages before it left in the workers.
+CACHE_BYTES = 32 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,8 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, read back: a row for each of its documents."""
     path = scratch_path(spark, "corpus-tokens")
-    token_files.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_token_files(docs, path, tokenizer, end_id=2, cache_bytes=CACHE_BYTES)
     return token_files.read_token_documents(spark, path)
 
 

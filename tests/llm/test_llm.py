@@ -173,6 +173,41 @@ def test_encoder_bounds_its_memory_by_bytes(monkeypatch):
     assert own._old
 
 
+def test_the_memory_of_pieces_is_given_by_the_caller(spark, docs, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    small, large = (token_files.Encoder(open(path).read(), "<u2", size) for size in (20_000, 40_000_000))
+    whole, texts = Tokenizer.from_file(path), [prose(i, 60) + f" x{i}" * 90 for i in range(60)]
+    for text in texts:
+        want = np.array(whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        assert small.ids([text]) == large.ids([text]) == [want]
+    assert small._old and not large._old
+    # stages before it leave memory in the workers of the pipeline
+    given = {}
+    monkeypatch.setattr(token_files, "write_token_files", lambda *a, **options: given.update(options))
+    monkeypatch.setattr(token_files, "read_token_documents", lambda *a: None)
+    corpus_pipeline.write_tokens(spark, docs, SF)
+    assert given["cache_bytes"] < token_files.CACHE_BYTES
+
+
+def test_languages_are_scored_on_few_texts_at_a_time(spark, monkeypatch):
+    """Whole texts are held by Spark and by the worker, a batch each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stage = spark.conf.get(key), {}, language.stage
+
+    def watched(df, name):
+        seen[name] = int(spark.conf.get(key))
+        return stage(df, name)
+
+    monkeypatch.setattr(language, "stage", watched)
+    labelled = [("the cat and the dog", "en"), ("le chat et le chien", "fr")]
+    model = language.fit_languages(spark.createDataFrame(labelled, "text string, lang string"))
+    own = spark.createDataFrame([(1, "the dog", "s"), (2, None, None)], "doc_id long, text string, source string")
+    assert language.identify_languages(language.document_records(own), model, html=False).count() == 2
+    assert seen["language-text"] <= 1024 and spark.conf.get(key) == before
+
+
 class Counted:
     """A tokenizer that counts the texts it is given."""
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import arrow_batches_of, partitions_for, text_rows
+from tidemark.llm.common import arrow_batches_of, give_back, partitions_for, text_rows
 
 BLOCK_TOKENS = 1 << 19
 SAMPLE = 256
@@ -37,7 +37,7 @@ SAMPLE = 256
 RANGE_BYTES = 32 << 20
 # Bytes that one of the two generations of remembered pieces may take in a worker, about what an entry
 # takes besides its text, and the characters beyond which a piece is not remembered.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 160 << 20
 ENTRY_BYTES = 180
 LONG_PIECE = 256
 # How a byte-level vocabulary writes a space, and how many new pieces are encoded as one text.
@@ -118,7 +118,7 @@ class Encoder:
     looks at nothing before it; so a text may be cut there without changing its ids. A piece that
     touches further white space is not cut off.
 
-    The memory has two generations of ``CACHE_BYTES`` each: a full one becomes the old one, from
+    The memory has two generations of ``cache_bytes`` each: a full one becomes the old one, from
     which pieces that are met again come back. Pieces of more than ``LONG_PIECE`` characters, such as
     whole texts of a script without spaces, are encoded anew each time.
     """
@@ -126,7 +126,7 @@ class Encoder:
     _CUT = re.compile(r"(?<=\S) (?=\S)")
     _SPACES = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
 
-    def __init__(self, definition: str, dtype: str):
+    def __init__(self, definition: str, dtype: str, cache_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -138,7 +138,7 @@ class Encoder:
         self._spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._held = 0
+        self._held, self._most = 0, CACHE_BYTES if cache_bytes is None else cache_bytes
 
     def _wide(self, text: str) -> bool:
         """Whether a space is at an end of the text or touches further white space."""
@@ -204,7 +204,7 @@ class Encoder:
         """Ids of different pieces, from the memory where they are in it."""
         found = list(map(self._young.get, pieces))
         missing = [p for p, ids in zip(pieces, found) if ids is None and len(p) <= LONG_PIECE]
-        if missing and self._held > CACHE_BYTES:
+        if missing and self._held > self._most:
             # the full generation is put away, and then all pieces are asked of it
             self._old, self._young, self._held = self._young, {}, 0
             missing = [p for p in pieces if len(p) <= LONG_PIECE]
@@ -274,17 +274,18 @@ def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tu
     yield from zip(docs, encoder.ids(texts))
 
 
-def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema):
+def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema, cache_bytes: int | None = None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one encoder for all tasks that a worker runs without a longer pause
         encoders = sys.__dict__.setdefault("_tidemark_encoders", {})
         if waiting := encoders.pop("waiting", None):
             waiting.cancel()
-        key = (zlib.crc32(definition.value.encode()), dtype)
+        key = (zlib.crc32(definition.value.encode()), dtype, cache_bytes)
         encoder, part, seq = encoders.get(key), TaskContext.get().partitionId(), 0
         if encoder is None:
             encoders.clear()
-            encoder = encoders[key] = Encoder(definition.value, dtype)
+            give_back()
+            encoder = encoders[key] = Encoder(definition.value, dtype, cache_bytes)
         end = np.array([end_id], dtype).tobytes()
         docs, ids, held, most = [], [], 0, BLOCK_TOKENS * len(end)
 
@@ -301,7 +302,12 @@ def _writer(definition, dtype: str, end_id: int, arrow: pa.Schema):
             held += len(encoded)
         if docs:
             yield flush()
-        encoders["waiting"] = waiting = threading.Timer(IDLE_SECONDS, encoders.clear)
+
+        def forget():
+            encoders.clear()
+            give_back()
+
+        encoders["waiting"] = waiting = threading.Timer(IDLE_SECONDS, forget)
         waiting.daemon = True
         waiting.start()
 
@@ -320,9 +326,12 @@ def write_token_files(
     end_id: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
+    cache_bytes: int | None = None,
 ) -> None:
     """Encode every whole text and write the blocks in ascending order of the document ids.
 
+    A larger memory of pieces (``cache_bytes`` for each of two generations in a worker) saves time only.
+
     Null texts are empty documents: only ``end_id``. Null ids come first; rows with equal ids are
     ordered by their texts. Extra columns are ignored; an empty table makes a file without blocks.
     """
@@ -337,10 +346,11 @@ def write_token_files(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")
     )
+    memory = {} if cache_bytes is None else {"cache_bytes": cache_bytes}
     blocks = (
         rows.repartitionByRange(partitions_for(docs, RANGE_BYTES), "doc")
         .sortWithinPartitions("doc", "text")
-        .mapInArrow(_writer(shared, dtype, end_id, _arrow_schema()), BLOCK_SCHEMA)
+        .mapInArrow(_writer(shared, dtype, end_id, _arrow_schema(), **memory), BLOCK_SCHEMA)
     )
     # a batch is held by Spark and by the worker, beside the worker's memory of pieces
     with arrow_batches_of(spark, ROWS_IN):
