@@ -120,6 +120,34 @@ def test_the_join_gives_every_link(spark, rows, monkeypatch, percent, block):
     assert got == sorted(set(brute_components(own, 3, percent)))
 
 
+def test_candidates_meet_at_their_first_shared_n_gram(spark):
+    # n-gram 1 may be the first that sets of 100 share, n-gram 2 stands too late in both
+    rows = [(1, 7, 100, 4), (1, 8, 100, 5), (2, 8, 100, 9), (2, 9, 100, 9)]
+    posts = spark.createDataFrame(rows, "gram long, node long, n long, pos int")
+    assert [(r["a"], r["b"]) for r in ngram_join._all_pairs(posts, 90).collect()] == [(7, 8)]
+
+
+@pytest.mark.parametrize("keys", [200, 1 << 18])
+def test_near_copies_move_to_buckets_and_not_to_pairs(spark, monkeypatch, keys):
+    monkeypatch.setattr(ngram_join, "BUCKET_KEYS", keys)
+    own = []
+    for i in range(40):
+        words = prose(9, 150).split()
+        words[3 * i] = f"x{i % 9}"
+        own += [(i, " ".join(words))] * (1 + i % 2)
+    nodes = range(-20, 20)
+    pairs = [(a, b, 148, 148) for a, b in itertools.combinations(nodes, 2)]
+    pairs = spark.createDataFrame(pairs, "a long, b long, a_n long, b_n long")
+    dealt, copies = ngram_join._dealt(pairs, 0)
+    assert dealt.select("a", "b").distinct().count() == dealt.count() == 40 * 39 // 2
+    # before, all n-grams of one end moved with each of the 780 pairs
+    assert copies.count() <= (40 if keys > 200 else 780)
+    docs = spark.createDataFrame(own, "doc_id long, text string")
+    found = ngram_join.ngram_jaccard_links(docs).collect()
+    want = brute_links(own, 3, 90)
+    assert len(want) > 700 and len(found) == len(want) and set(map(tuple, found)) == want
+
+
 def test_empty_tables(spark, none):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -20,8 +20,9 @@ are frequent in the corpus come last. A set is cut into fragments at fixed pivot
    at last pair by pair between different components. No link between components is lost.
 4. Every set has a bitmap of parities, as long as the set is large. Two bitmaps differ in no more
    bits than their sets in n-grams, so pairs whose bitmaps differ too much are left out before any set moves.
-5. The remaining pairs are compared fragment by fragment: each fragment counts its partial overlap
-   on its own rows, and the sum per pair decides.
+5. The remaining pairs are dealt to buckets by groups of near copies, and the sets are copied to the
+   buckets that need them, not to each pair. There they are compared fragment by fragment: each
+   fragment counts its partial overlap, and the sum per pair decides.
 
 Defined cases: a null or empty text has no n-grams and is linked with nothing; it is its own
 component. Repeated rows are kept, each with its component. A row whose id is null makes no
@@ -57,7 +58,10 @@ BLOCK = 1024
 # Comparisons with a centre are repeated while pair-by-pair work would exceed this many pairs
 # for each posted row, but no more often than STAR_ROUNDS.
 PAIRS_PER_ROW = 2
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
+
+# N-grams of eight bytes that a bucket of the comparison, or one side of it, holds on average.
+BUCKET_KEYS = 1 << 18
 
 # N-grams of eight bytes that a task of a counter or of fragments holds before it hands them on.
 KEYS_HELD = 1 << 18
@@ -190,11 +194,14 @@ def _fragment_writer(k: int, classes: bytes):
 
 
 def _may_link(percent: int) -> Column:
-    """Sizes, and the places of the shared n-gram, still allow the similarity."""
+    """Sizes, and the places of the shared n-gram as the first shared one, allow the similarity.
+
+    The first n-gram that a similar pair shares is in both prefixes, so the pair is found there.
+    """
     least, most = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    # nothing is shared before the first shared n-gram
+    reach = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
     # intersection i of a similar pair: 100 * i >= percent * (a + b - i)
-    reach = F.least("a_pos", "b_pos") + rest
     return (least * 100 >= most * percent) & (
         reach * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
     )
@@ -229,22 +236,61 @@ def _by_bitmap(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _overlaps(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar: partial overlaps by fragment, summed per pair."""
-    left = fragments.withColumnsRenamed({"node": "a", "grams": "a_grams"})
-    right = fragments.withColumnsRenamed({"node": "b", "grams": "b_grams"})
-    partial = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_grams", "b_grams")).alias("i"))
+def _dealt(pairs: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, copies): the bucket that compares each pair, and the buckets that need each class.
+
+    Classes have a home, the smallest class among themselves and those they are paired with, and
+    homes of many n-grams are cut into blocks. A bucket compares the pairs of some two blocks, so a
+    class moves once for each block it meets, however many classes are in it.
+    """
+    names = ("node", "n", "other")
+    ends = pairs.select("a", "a_n", "b").toDF(*names).unionAll(pairs.select("b", "b_n", "a").toDF(*names))
+    homes = ends.groupBy("node").agg(F.max("n").alias("n"), F.least(F.min("other"), "node").alias("home"))
+    blocks = homes.groupBy("home").agg(F.ceil(F.sum("n") / BUCKET_KEYS).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), "blocks")
+    placed = stage(
+        homes.join(blocks, "home").select("node", "n", F.xxhash64("home", block).alias("home")),
+        f"ngram-homes-{turn}",
     )
-    total = F.col("i")
-    return (
-        partial.groupBy("a", "b", "a_n", "b_n")
-        .agg(F.sum("i").alias("i"))
-        .where(total * 100 >= (F.col("a_n") + F.col("b_n") - total) * percent)
-        .select("a", "b")
+    home = placed.drop("n")
+    keyed = (
+        pairs.join(home.withColumnsRenamed({"node": "a", "home": "a_home"}), "a")
+        .join(home.withColumnsRenamed({"node": "b", "home": "b_home"}), "b")
+        .withColumn("key", F.xxhash64(F.least("a_home", "b_home"), F.greatest("a_home", "b_home")))
     )
+    total = placed.agg(F.sum("n")).first()[0] or 0
+    bucket = F.pmod("key", F.lit(-(-total // BUCKET_KEYS) or 1)).alias("bucket")
+    keyed = stage(keyed.select(bucket, "a", "b", "a_n", "b_n"), f"ngram-dealt-{turn}")
+    copies = keyed.select(F.col("bucket").alias("to"), F.col("a").alias("node"))
+    return keyed, copies.union(keyed.select("bucket", "b")).distinct()
+
+
+def _shared_counter(copies: pa.Table, pairs: pa.Table) -> pa.Table:
+    """The pairs of a bucket with the n-grams they share: partial overlaps by fragment, summed per pair."""
+    grams = copies["grams"].combine_chunks()
+    values, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
+    # a fragment that is there twice, as its row is, counts once
+    places = zip(copies["fragment"].to_pylist(), copies["node"].to_pylist())
+    parts = {place: values[i:j] for place, i, j in zip(places, ends, ends[1:])}
+    total, none = np.zeros(pairs.num_rows, np.int64), np.zeros(0, np.int64)
+    both = list(zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()))
+    for f in range(len(PIVOTS) + 1):
+        for at, (a, b) in enumerate(both):
+            x, y = parts.get((f, a), none), parts.get((f, b), none)
+            if len(x) and len(y):
+                total[at] += len(np.intersect1d(x, y, assume_unique=True))
+    return pairs.select(["a", "b", "a_n", "b_n"]).append_column("i", pa.array(total))
+
+
+def _overlaps(pairs: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar, each compared in the bucket it is dealt to."""
+    counted = (
+        copies.groupBy("to")
+        .cogroup(pairs.groupBy("bucket"))
+        .applyInArrow(_shared_counter, "a long, b long, a_n long, b_n long, i long")
+    )
+    total = F.col("i")
+    return counted.where(total * 100 >= (F.col("a_n") + F.col("b_n") - total) * percent).select("a", "b")
 
 
 def _stars(posts: DataFrame, percent: int) -> DataFrame:
@@ -328,18 +374,16 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
 
     def verified(candidates: DataFrame, turn: int) -> DataFrame:
         pairs = stage(_by_bitmap(candidates, nodes, percent), f"ngram-pairs-{turn}")
-        either = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        chosen = nodes.join(either, "node", "left_semi").select(F.col("class_id").alias("id"))
+        dealt, copies = _dealt(pairs, turn)
+        chosen = nodes.join(copies.select("node"), "node", "left_semi").select(F.col("class_id").alias("id"))
         # staged, so that the planner knows whether the texts have to move at all
         chosen = stage(chosen.distinct(), f"ngram-chosen-{turn}")
-        fragments = (
-            texts.join(chosen, "id", "left_semi")
-            .mapInArrow(_fragment_writer(k, classes), "node long, fragment int, grams array<long>")
-            .dropDuplicates(["node", "fragment"])
+        fragments = texts.join(chosen, "id", "left_semi").mapInArrow(
+            _fragment_writer(k, classes), "node long, fragment int, grams array<long>"
         )
+        # what the fragments decide is all that is written down
         with arrow_batches_of(docs.sparkSession, TEXT_ROWS):
-            fragments = stage(fragments, f"ngram-fragments-{turn}")
-        return stage(_overlaps(pairs, fragments, percent), f"ngram-links-{turn}")
+            return stage(_overlaps(dealt, fragments.join(copies, "node"), percent), f"ngram-fragments-{turn}")
 
     return sets, nodes, posts, verified
 
