@@ -122,14 +122,19 @@ def test_the_join_gives_every_link(spark, rows, monkeypatch, percent, block):
 
 def test_candidates_meet_at_their_first_shared_n_gram(spark):
     # n-gram 1 may be the first that sets of 100 share, n-gram 2 stands too late in both
-    rows = [(1, 7, 100, 4), (1, 8, 100, 5), (2, 8, 100, 9), (2, 9, 100, 9)]
-    posts = spark.createDataFrame(rows, "gram long, node long, n long, pos int")
+    rows = [(1, 7, 100, 4, 0), (1, 8, 100, 5, -1), (2, 8, 100, 9, 3), (2, 9, 100, 9, 4)]
+    # 6 and 5 share the n-gram before 4 as well, and the one before that n-gram is not shared
+    rows += [(3, 5, 100, 0, None), (3, 6, 100, 0, None), (4, 5, 100, 1, 3), (4, 6, 100, 1, 3)]
+    posts = spark.createDataFrame(rows, "gram long, node long, n long, pos int, prev long")
+    again = ngram_join._all_pairs(posts.where("gram = 4"), 90)
+    assert again.count() == 0
+    posts = posts.where("gram < 3")
     assert [(r["a"], r["b"]) for r in ngram_join._all_pairs(posts, 90).collect()] == [(7, 8)]
 
 
 @pytest.mark.parametrize("keys", [200, 1 << 18])
 def test_near_copies_move_to_buckets_and_not_to_pairs(spark, monkeypatch, keys):
-    monkeypatch.setattr(ngram_join, "BUCKET_KEYS", keys)
+    monkeypatch.setattr(ngram_join, "BLOCK_KEYS", keys)
     own = []
     for i in range(40):
         words = prose(9, 150).split()
@@ -140,12 +145,17 @@ def test_near_copies_move_to_buckets_and_not_to_pairs(spark, monkeypatch, keys):
     pairs = spark.createDataFrame(pairs, "a long, b long, a_n long, b_n long")
     dealt, copies = ngram_join._dealt(pairs, 0)
     assert dealt.select("a", "b").distinct().count() == dealt.count() == 40 * 39 // 2
-    # before, all n-grams of one end moved with each of the 780 pairs
-    assert copies.count() <= (40 if keys > 200 else 780)
+    # before, all n-grams of one end moved with each of the 780 pairs; blocks of one class are the worst case
+    assert copies.count() <= (40 if keys > 200 else 2 * 780)
     docs = spark.createDataFrame(own, "doc_id long, text string")
     found = ngram_join.ngram_jaccard_links(docs).collect()
     want = brute_links(own, 3, 90)
     assert len(want) > 700 and len(found) == len(want) and set(map(tuple, found)) == want
+    # the search for components is handed a row for each class and bucket, and not every link
+    staged, stage = {}, ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    ngram_join.ngram_jaccard_join(docs).collect()
+    assert staged["ngram-fragments-0"].count() <= (40 if keys > 200 else 2 * 780)
 
 
 def test_empty_tables(spark, none):

@@ -31,6 +31,7 @@ links, but gets the ids of a row with an equal set. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,8 +61,10 @@ BLOCK = 1024
 PAIRS_PER_ROW = 2
 STAR_ROUNDS = 2
 
-# N-grams of eight bytes that a bucket of the comparison, or one side of it, holds on average.
-BUCKET_KEYS = 1 << 18
+# N-grams of eight bytes in a block of near copies that are compared with each other or another
+# block, and the buckets made for as many: small groups are dealt over more tasks than blocks are.
+BLOCK_KEYS = 1 << 18
+BUCKETS_EACH = 8
 
 # N-grams of eight bytes that a task of a counter or of fragments holds before it hands them on.
 KEYS_HELD = 1 << 18
@@ -246,7 +249,7 @@ def _dealt(pairs: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     names = ("node", "n", "other")
     ends = pairs.select("a", "a_n", "b").toDF(*names).unionAll(pairs.select("b", "b_n", "a").toDF(*names))
     homes = ends.groupBy("node").agg(F.max("n").alias("n"), F.least(F.min("other"), "node").alias("home"))
-    blocks = homes.groupBy("home").agg(F.ceil(F.sum("n") / BUCKET_KEYS).alias("blocks"))
+    blocks = homes.groupBy("home").agg(F.ceil(F.sum("n") / BLOCK_KEYS).alias("blocks"))
     block = F.pmod(F.xxhash64("node"), "blocks")
     placed = stage(
         homes.join(blocks, "home").select("node", "n", F.xxhash64("home", block).alias("home")),
@@ -259,14 +262,14 @@ def _dealt(pairs: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("key", F.xxhash64(F.least("a_home", "b_home"), F.greatest("a_home", "b_home")))
     )
     total = placed.agg(F.sum("n")).first()[0] or 0
-    bucket = F.pmod("key", F.lit(-(-total // BUCKET_KEYS) or 1)).alias("bucket")
+    bucket = F.pmod("key", F.lit(-(-total * BUCKETS_EACH // BLOCK_KEYS) or 1)).alias("bucket")
     keyed = stage(keyed.select(bucket, "a", "b", "a_n", "b_n"), f"ngram-dealt-{turn}")
     copies = keyed.select(F.col("bucket").alias("to"), F.col("a").alias("node"))
     return keyed, copies.union(keyed.select("bucket", "b")).distinct()
 
 
-def _shared_counter(copies: pa.Table, pairs: pa.Table) -> pa.Table:
-    """The pairs of a bucket with the n-grams they share: partial overlaps by fragment, summed per pair."""
+def _shared(copies: pa.Table, pairs: pa.Table) -> np.ndarray:
+    """The n-grams that each pair of a bucket shares: partial overlaps by fragment, summed per pair."""
     grams = copies["grams"].combine_chunks()
     values, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
     # a fragment that is there twice, as its row is, counts once
@@ -279,18 +282,48 @@ def _shared_counter(copies: pa.Table, pairs: pa.Table) -> pa.Table:
             x, y = parts.get((f, a), none), parts.get((f, b), none)
             if len(x) and len(y):
                 total[at] += len(np.intersect1d(x, y, assume_unique=True))
-    return pairs.select(["a", "b", "a_n", "b_n"]).append_column("i", pa.array(total))
+    return total
 
 
-def _overlaps(pairs: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar, each compared in the bucket it is dealt to."""
-    counted = (
-        copies.groupBy("to")
-        .cogroup(pairs.groupBy("bucket"))
-        .applyInArrow(_shared_counter, "a long, b long, a_n long, b_n long, i long")
-    )
-    total = F.col("i")
-    return counted.where(total * 100 >= (F.col("a_n") + F.col("b_n") - total) * percent).select("a", "b")
+def _comparer(percent: int, every: bool):
+    def links(copies: pa.Table, pairs: pa.Table) -> pa.Table:
+        total = _shared(copies, pairs)
+        sizes = pairs["a_n"].to_numpy() + pairs["b_n"].to_numpy()
+        return pairs.select(["a", "b"]).filter(pa.array(total * 100 >= (sizes - total) * percent))
+
+    def stars(copies: pa.Table, pairs: pa.Table) -> pa.Table:
+        found = links(copies, pairs)
+        root, counts = {}, Counter()
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist()):
+            counts.update((a, b))
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+        columns = (list(counts), map(top, counts), counts.values())
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "n_links"])
+
+    return links if every else stars
+
+
+def _overlaps(pairs: DataFrame, copies: DataFrame, percent: int, every: bool) -> DataFrame:
+    """The pairs (a, b) that are similar, each compared in the bucket it is dealt to.
+
+    Not ``every`` one: for each bucket and class ``a`` with a link there, the smallest class ``b`` that
+    its links in the bucket reach, and their number ``n_links``.
+    """
+    schema = "a long, b long" if every else "a long, b long, n_links long"
+    both = copies.groupBy("to").cogroup(pairs.groupBy("bucket"))
+    return both.applyInArrow(_comparer(percent, every), schema)
+
+
+def _first_shared() -> Column:
+    """Not so where the n-grams before the shared one are shared too: the pair is found there."""
+    return F.coalesce(F.col("a_prev") != F.col("b_prev"), F.lit(True))
 
 
 def _stars(posts: DataFrame, percent: int) -> DataFrame:
@@ -309,10 +342,10 @@ def _stars(posts: DataFrame, percent: int) -> DataFrame:
 
 def _rest(posts: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs within a posting whose classes are in different components."""
-    a = posts.select("gram", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "pos", "comp")))
-    b = posts.select("gram", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "pos", "comp")))
+    a = posts.select("gram", *(F.col(c).alias(f"a_{c}") for c in ("node", "n", "pos", "prev", "comp")))
+    b = posts.select("gram", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "pos", "prev", "comp")))
     other = (F.col("a_comp") != F.col("b_comp")) & (F.col("a_node") < F.col("b_node"))
-    both = a.join(b, "gram").where(other & _may_link(percent))
+    both = a.join(b, "gram").where(other & _first_shared())
     return _pairs(both.withColumnsRenamed({"a_node": "a", "b_node": "b"}), percent)
 
 
@@ -327,15 +360,17 @@ def _all_pairs(posts: DataFrame, percent: int) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
             "gram", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "block", "node", "n", "pos",
+            "block", "node", "n", "pos", "prev",
         )
     )
-    names = ("block", "node", "n", "pos")
+    names = ("block", "node", "n", "pos", "prev")
     a = dealt.withColumnsRenamed({c: f"a_{c}" for c in names})
     b = dealt.withColumnsRenamed({c: f"b_{c}" for c in names})
     # pairs within a block meet where it is paired with itself
     here = (F.col("low") == F.col("high")) | (F.col("a_block") != F.col("b_block"))
-    both = a.join(b, ["gram", "low", "high"]).where(here & (F.col("a_node") < F.col("b_node")))
+    both = a.join(b, ["gram", "low", "high"]).where(
+        here & (F.col("a_node") < F.col("b_node")) & _first_shared()
+    )
     return _pairs(both.withColumnsRenamed({"a_node": "a", "b_node": "b"}), percent)
 
 
@@ -348,7 +383,9 @@ def _pairs(both: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple:
+def _prepared(
+    docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, every: bool = False
+) -> tuple:
     """(sets, nodes, posts, verified): rows, classes, shared postings, and the test of candidates."""
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
@@ -364,8 +401,10 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     nodes = stage(
         named.agg(F.min("id").alias("class_id"), F.first("bits").alias("bits")), "ngram-nodes"
     )
-    posted = named.agg(F.first("prefix").alias("prefix")).select(
-        "node", "n", F.posexplode("prefix").alias("pos", "gram")
+    posted = (
+        named.agg(F.first("prefix").alias("prefix"))
+        .select("node", "n", "prefix", F.posexplode("prefix").alias("pos", "gram"))
+        .select("node", "n", "pos", "gram", F.get("prefix", F.col("pos") - 1).alias("prev"))
     )
     shared = F.count("*").over(Window.partitionBy("gram")) > 1
     posts = stage(
@@ -383,7 +422,8 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         )
         # what the fragments decide is all that is written down
         with arrow_batches_of(docs.sparkSession, TEXT_ROWS):
-            return stage(_overlaps(dealt, fragments.join(copies, "node"), percent), f"ngram-fragments-{turn}")
+            found = _overlaps(dealt, fragments.join(copies, "node"), percent, every)
+            return stage(found, f"ngram-fragments-{turn}")
 
     return sets, nodes, posts, verified
 
@@ -427,7 +467,7 @@ def ngram_jaccard_components(
     for turn in range(STAR_ROUNDS + 1):
         own = F.coalesce("comp", "node").alias("comp")
         marked = posts.join(labels.withColumnRenamed("label", "comp"), "node", "left").select(
-            "gram", "node", "n", "pos", own
+            "gram", "node", "n", "pos", "prev", own
         )
         undecided = stage(
             marked.join(_open_grams(marked).select("gram"), "gram", "left_semi"),
@@ -452,7 +492,7 @@ def ngram_jaccard_links(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
 ) -> DataFrame:
     """(a, b), the ``class_id`` of every two different sets that link, ``a < b``."""
-    _, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent)
+    _, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent, every=True)
     links = verified(_all_pairs(posts, percent), 0)
     a = nodes.select(F.col("node").alias("a"), F.col("class_id").alias("a_id"))
     b = nodes.select(F.col("node").alias("b"), F.col("class_id").alias("b_id"))
@@ -473,8 +513,7 @@ def ngram_jaccard_join(
     """
     sets, nodes, posts, verified = _prepared(docs, id_col, text_col, k, percent)
     links = verified(_all_pairs(posts, percent), 0)
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-    counted = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+    counted = links.groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("n_links"))
     rows = _with_components(sets, nodes, links, id_col)
     n_links = F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
     return rows.join(counted, "node", "left").select(
