@@ -38,8 +38,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = clear_name(docs, "text_key")[0]
     kept = groups.where("doc_id = component_id").select("doc_id", F.col("text_key").alias(key)).distinct()
     named = docs.withColumn(key, F.xxhash64(F.col("text").cast("string"))).join(kept, ["doc_id", key], "left_semi")
-    both = named.select(docs.columns).unionByName(docs.where("doc_id is null"))
-    return both.dropDuplicates(["doc_id", "text"])
+    # dealt by id and key already, so that whole texts do not move once more
+    once = named.dropDuplicates(["doc_id", key, "text"]).select(docs.columns)
+    return once.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

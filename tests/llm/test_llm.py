@@ -724,6 +724,20 @@ def brute_leaks(rows, items):
     return {i for i, t in rows if any(g <= grams(split(t)) for g in wanted if len(next(iter(g))) == 5)}
 
 
+def test_near_duplicates_move_whole_texts_once(spark, tmp_path):
+    rows = [(i, prose(i, 40), "en") for i in range(30)] + [(3, prose(3, 40), "fr"), (None, "a b", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/d")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/d"), "")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # before, a second exchange moved all that is kept again, by id and text
+        assert "hashpartitioning(doc_id, text," not in re.sub(r"#\d+L?", "", plan)
+        assert found.count() == 31
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pipeline_equals_its_stages_and_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -57,8 +57,9 @@ BITS_EACH = 2
 BLOCK = 1024
 
 # Comparisons with a centre are repeated while pair-by-pair work would exceed this many pairs
-# for each posted row, but no more often than STAR_ROUNDS.
-PAIRS_PER_ROW = 2
+# for each posted row, but no more often than STAR_ROUNDS. A round moves all open postings; the
+# places of the shared n-gram leave a fraction of these pairs.
+PAIRS_PER_ROW = 16
 STAR_ROUNDS = 2
 
 # N-grams of eight bytes in a block of near copies that are compared with each other or another
