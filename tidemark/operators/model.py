@@ -1,21 +1,37 @@
-"""Boosted trees on the feature matrix: regression trees of Spark ML, boosted round by round."""
+"""Boosted trees on the feature matrix: regression trees grown on cells, boosted round by round."""
 
 from __future__ import annotations
 
+from contextlib import closing
+
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import FEATURE_COLS, TrainConfig
-from tidemark.operators.trees import Forest, Tree, nodes_of
-from tidemark.session import input_bytes, stage
-
-# Stored bytes of training rows that a task of each round has: the least that is worth a task, and the
-# most. In between the rows are dealt to as many tasks as the cluster runs at a time.
+from tidemark.operators.cells import (
+    Boosted,
+    DecisionTreeRegressor,
+    Thresholds,
+    blocks_of,
+    count_cells,
+    find_thresholds,
+)
+from tidemark.operators.trees import Forest, Tree
+from tidemark.session import input_bytes, settings_of, sized_for, stage, staged_tables
+
+# Stored bytes of training rows that a task has: the least that is worth a task, and the most. In between
+# they are dealt to as many tasks as the cluster runs at a time. So are the cells that each round reads,
+# by bounds of their own: the least is so many times as much, as a task that has all cells grows a tree
+# in one job, and the most is less, as a stored cell is several times as large in a block.
 LEAST_TASK_BYTES = 256 << 10
 MOST_TASK_BYTES = 32 << 20
+LEAST_CELLS = 8
+MOST_CELL_BYTES = 4 << 20
+
+# Blocks (some 3 MB each) that a worker is handed at a time.
+BLOCKS_A_BATCH = 8
 
 
 def assemble_features(matrix: DataFrame) -> DataFrame:
@@ -24,31 +40,28 @@ def assemble_features(matrix: DataFrame) -> DataFrame:
 
 
 def _training_rows(matrix: DataFrame) -> DataFrame:
-    """Features, the label as -1 or 1, and the margin of no trees."""
-    sign = F.col("label").cast("double") * 2.0 - 1.0
-    return matrix.select(*FEATURE_COLS, sign.alias("sign"), F.lit(0.0).alias("margin"))
+    """Features, and the label as -1 or 1."""
+    return matrix.select(*FEATURE_COLS, (F.col("label").cast("double") * 2.0 - 1.0).alias("sign"))
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """The rows in as many parts as training has tasks; a split may be one file, which one task reads."""
+def _parts(rows: DataFrame, least: int, most: int) -> int:
     size, cores = input_bytes(rows), rows.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(-(-size // LEAST_TASK_BYTES), cores), -(-size // MOST_TASK_BYTES))
-    return rows.repartition(parts) if parts > 1 else rows
+    return max(min(-(-size // least), cores), -(-size // most))
 
 
-def _residual(rounds: int) -> Column:
-    """What the next tree learns: the signs first, then the downhill slope of the loss."""
-    if rounds == 0:
-        return F.col("sign")
-    return F.col("sign") * 4.0 / (F.exp(F.col("sign") * F.col("margin") * 2.0) + 1.0)
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows in as many parts as training has tasks; a split may be one file, which one task reads."""
+    parts = _parts(rows, LEAST_TASK_BYTES, MOST_TASK_BYTES)
+    return rows.repartition(parts) if parts > 1 else rows
 
 
-def _loss(rows: DataFrame) -> float:
-    """Mean of 2 log(1 + exp(-2 y margin)), without overflow for large margins."""
-    x = F.col("sign") * F.col("margin") * -2.0
-    one = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
-    found = rows.agg(F.avg(one)).first()[0]
-    return float("nan") if found is None else 2.0 * found
+def _blocks(rows: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """The cells of the rows, in as many parts as a round has tasks."""
+    with sized_for(rows):
+        cells = stage(count_cells(rows, FEATURE_COLS, thresholds), "boost-cells")
+    parts = _parts(cells, LEAST_CELLS * LEAST_TASK_BYTES, MOST_CELL_BYTES)
+    dealt = cells.repartition(parts) if parts > 1 else cells.coalesce(1)
+    return blocks_of(dealt, len(FEATURE_COLS))
 
 
 def stopping_round(losses: list[float], patience: int) -> tuple[int, bool]:
@@ -68,34 +81,39 @@ def train_gbt(
     """Grow trees until the validation loss has not fallen for ``patience`` rounds or the cap is reached.
 
     Returns the trees up to the best round and the loss of every round. No round is fitted twice: the
-    margins of all rows are carried along and written down every ``rounds_per_table`` rounds, so that
-    neither the lineage nor the expressions grow, and each tree is grown on what the margins leave over.
-    The rows are dealt out first, and a round's learned rows are worked out once.
+    margins of all cells are carried along and written down every ``rounds_per_table`` rounds, and each
+    tree is grown on what they leave over. The rows are read for the thresholds and for the cells; what a
+    round reads is the cells, dealt out once, and what it learns is worked out once.
     """
+    with staged_tables(train.sparkSession):
+        return _boosted(train, validation, cfg)
+
+
+def _boosted(train: DataFrame, validation: DataFrame, cfg: TrainConfig) -> tuple[Forest, list[float]]:
     rows = stage(_dealt(_training_rows(train)), "boost-rows")
-    held_out = stage(_dealt(_training_rows(validation)), "boost-held-out")
+    thresholds = find_thresholds(assemble_features(rows), len(FEATURE_COLS), cfg.seed)
+    learner = DecisionTreeRegressor(FEATURE_COLS, thresholds, cfg.max_depth)
     trees: list[Tree] = []
     losses: list[float] = []
-    while len(trees) < cfg.max_rounds:
-        learner = DecisionTreeRegressor(
-            featuresCol="features", labelCol="residual", maxDepth=cfg.max_depth, seed=cfg.seed
-        )
-        learned = assemble_features(rows.withColumn("residual", _residual(len(trees))))
-        # the fit reads its rows three times before it keeps them in its own form
-        learned = learned.select("features", "residual").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fitted = learner.fit(learned)
-        finally:
-            learned.unpersist()
-        tree = Tree(cfg.step_size if trees else 1.0, nodes_of(fitted, FEATURE_COLS))
-        trees.append(tree)
-        margin = F.col("margin") + tree.column()
-        rows, held_out = rows.withColumn("margin", margin), held_out.withColumn("margin", margin)
-        if len(trees) % cfg.rounds_per_table == 0:
-            rows, held_out = stage(rows, "boost-rows"), stage(held_out, "boost-held-out")
-        losses.append(_loss(held_out))
-        if stopping_round(losses, cfg.patience)[1]:
-            break
+    given = FEATURE_COLS, thresholds, cfg.rounds_per_table
+    with (
+        closing(Boosted(_blocks(rows, thresholds), *given)) as learning,
+        closing(Boosted(_blocks(_training_rows(validation), thresholds), *given)) as held_out,
+        settings_of(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BLOCKS_A_BATCH)}),
+    ):
+        while len(trees) < cfg.max_rounds:
+            # the fit reads its blocks once for each level
+            learned = learning.learned(first=not trees).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                nodes = learner.fit(learned)
+            finally:
+                learned.unpersist()
+            trees.append(Tree(cfg.step_size if trees else 1.0, nodes))
+            for side in (learning, held_out):
+                side.add(trees[-1])
+            losses.append(held_out.loss())
+            if stopping_round(losses, cfg.patience)[1]:
+                break
     return Forest(tuple(trees)).first(stopping_round(losses, cfg.patience)[0]), losses
 
 
